@@ -54,6 +54,11 @@ def speed_mph(distance: str | Column, minutes: str | Column) -> Column:
     return F.when(_col(minutes) > 0, _col(distance) / (_col(minutes) / 60.0)).otherwise(F.lit(0.0))
 
 
+def speed_mph_per_minute(distance: str | Column, minutes: str | Column) -> Column:
+    """Like ``speed_mph`` but scaled after the division, as the exploration path computes it."""
+    return F.when(_col(minutes) > 0, _col(distance) / _col(minutes) * 60.0).otherwise(F.lit(0.0))
+
+
 def speed_mph_or_null(distance: str | Column, minutes: str | Column) -> Column:
     """Miles per hour, NULL unless distance and duration are positive."""
     return F.when((_col(distance) > 0) & (_col(minutes) > 0), _col(distance) / _col(minutes) * 60.0)

@@ -143,10 +143,10 @@ def clean_calculated(clean: DataFrame) -> DataFrame:
         .withColumns(
             {
                 "tip_percentage": fn.tip_percentage(cap=100),
-                "avg_speed_mph": fn.speed_mph("trip_distance", "trip_duration"),
+                "avg_speed_mph": fn.speed_mph_per_minute("trip_distance", "trip_duration"),
             }
         )
-        .where(F.col("avg_speed_mph") <= 100)
+        .where(~F.coalesce(F.col("avg_speed_mph") > 100, F.lit(False)))
         .withColumns(
             {
                 "pickup_hour": F.hour(PICKUP),
