@@ -1,3 +1,3 @@
 """Registered queries, one module per group of operators."""
 
-from . import analytics, zones  # noqa: F401
+from . import analytics, star, zones  # noqa: F401

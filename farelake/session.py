@@ -15,6 +15,10 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # The JVM does not compile methods beyond 8000 bytes of bytecode. Wide trip projections
+    # under many filters exceed that and would run interpreted; past this limit Spark
+    # falls back to smaller generated functions, which are compiled.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
