@@ -1,3 +1,3 @@
 """Registered queries, one module per group of operators."""
 
-from . import analytics, monitoring, star, zones  # noqa: F401
+from . import analytics, monitoring, star, storage, zones  # noqa: F401

@@ -26,8 +26,12 @@ for _f in (
 
 @query("duplicate_rows")
 def _duplicates(spark, sf_dir):
-    trips = _trips(spark, sf_dir).drop("trip_ref", "total_amount")
-    return pf.duplicate_rows(trips.select("VendorID", "PULocationID", "DOLocationID", "payment_type", "tolls_amount"))
+    """Whole rows never repeat in the given trips; these columns do."""
+    columns = ("VendorID", "PULocationID", "DOLocationID", "payment_type", "tolls_amount")
+    return pf.duplicate_rows(_trips(spark, sf_dir).select(*columns))
+
+
+query("duplicate_rows_whole")(lambda spark, d: pf.duplicate_rows(_trips(spark, d)))
 
 
 query("sample_random")(lambda spark, d: sm.sample_random(_trips(spark, d), 1000))

@@ -71,6 +71,10 @@ def field(pattern: str, group: int = 1) -> str:
     return f"nullif(regexp_extract(message, '{pattern}', {group}), '')"
 
 
+ERROR_CLASS = r"(\w+Exception): (.*)"
+RECORDS = r"records processed: (\d+)"
+SECONDS = r"execution time: (\d+)"
+SIZE_MB = r'"size_mb": ([\d.]+)'
 BIN5 = "time_bucket(INTERVAL '5 minutes', ts)"
 HOUR = "time_bucket(INTERVAL '1 hour', ts)"
 USED = "max_memory_used / memory_size::DOUBLE"
@@ -129,6 +133,12 @@ ORACLES = {
         "i:row_count i:duplicates d:duplicate_pct",
         TRIPS,
     ),
+    "duplicate_rows_whole": out(
+        "SELECT n AS row_count, n - u AS duplicates, round((n - u) * 100.0 / n + 1e-9, 2) AS duplicate_pct FROM"
+        " (SELECT (SELECT count(*) FROM trips) AS n, (SELECT count(*) FROM (SELECT DISTINCT * FROM trips)) AS u)",
+        "i:row_count i:duplicates d:duplicate_pct",
+        TRIPS,
+    ),
     "sample_random": out("SELECT * FROM hashed ORDER BY h LIMIT 1000", COLS, TRIPS + ", " + HASHED),
     "sample_stratified": out("FROM chosen", COLS, TRIPS + ", " + STRATIFIED),
     "sample_time_range": out(
@@ -163,7 +173,7 @@ ORACLES = {
         LOGS,
     ),
     "log_error_patterns": out(
-        rf"SELECT {field('(\w+Exception): (.*)')} AS error_class, count(*) AS error_count FROM logs WHERE {EVERY}"
+        f"SELECT {field(ERROR_CLASS)} AS error_class, count(*) AS error_count FROM logs WHERE {EVERY}"
         f" AND {has('ERROR|Exception|Error')} GROUP BY 1 ORDER BY 2 DESC, 1 NULLS FIRST LIMIT 10",
         "error_class i:error_count",
         LOGS,
@@ -181,8 +191,8 @@ ORACLES = {
         LOGS,
     ),
     "log_job_metrics": out(
-        rf"SELECT {HOUR} AS bin, sum({field(r'records processed: (\d+)')}::BIGINT) AS total_records,"
-        rf" avg({field(r'execution time: (\d+)')}::BIGINT) AS avg_exec_time FROM logs WHERE {JOBS}"
+        f"SELECT {HOUR} AS bin, sum({field(RECORDS)}::BIGINT) AS total_records,"
+        f" avg({field(SECONDS)}::BIGINT) AS avg_exec_time FROM logs WHERE {JOBS}"
         f" AND {has('Job run succeeded|Job run failed|records processed')} GROUP BY 1",
         "bin i:total_records d:avg_exec_time",
         LOGS,
@@ -194,7 +204,7 @@ ORACLES = {
         LOGS,
     ),
     "log_upload_tracking": out(
-        rf"""SELECT {HOUR} AS bin, sum({field(r'"size_mb": ([\d.]+)')}::DOUBLE) AS total_mb, count(*) AS file_count
+        f"""SELECT {HOUR} AS bin, sum({field(SIZE_MB)}::DOUBLE) AS total_mb, count(*) AS file_count
         FROM logs WHERE log_group LIKE '%/lambda/s3-notification-handler' AND {has('S3_FILE_UPLOADED')} GROUP BY 1""",
         "bin d:total_mb i:file_count",
         LOGS,
