@@ -142,9 +142,13 @@ def quality_flag(distance="trip_distance", fare="fare_amount", speed="avg_speed_
 
 
 def round_half_up(value: str | Column, digits: int) -> Column:
-    """Decimal-style rounding of a double: lifts values a hair off binary near-ties first."""
+    """Decimal-style rounding of a double: lifts values a hair off binary near-ties first.
+
+    ``rint`` is plain double arithmetic; ``round`` would go through a decimal text per value.
+    """
     v = _col(value)
-    return F.round(v + F.signum(v) * 1e-9, digits)
+    scale = float(10**digits)
+    return F.rint((v + F.signum(v) * 1e-9) * scale) / scale
 
 
 def megabytes(size: str | Column) -> Column:

@@ -1,9 +1,9 @@
 """Exact interpolated percentiles whose work stays spread out, however large a group is.
 
 Spark's own ``percentile`` keeps every distinct value of a group in one aggregation buffer.
-Here equal values are counted first (combined map-side, spread by value), the counts are
-summed into narrow value ranges, and running totals over the ranges tell which of them hold
-the wanted ranks. Only those ranges are looked at value by value.
+Here a first pass counts rows per group and narrow value range, which combines map-side to a
+small result, and running totals tell which ranges hold the wanted ranks. A second pass looks
+at the values of those ranges only, so neither pass shuffles the rows of the table.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import BROADCAST_ROWS
+
 RANGES_PER_DOUBLING = 128
 _SHIFT = 2000 * RANGES_PER_DOUBLING  # above any |log2| of a finite double
 
@@ -21,26 +23,40 @@ def _value_range(v: Column) -> Column:
     return F.when(v > 0, spread).when(v < 0, -spread).otherwise(F.lit(0))
 
 
+def _between(lo: Column, hi: Column):
+    return lambda m: (m["rank"] >= lo) & (m["rank"] < hi)
+
+
+def _bounded(small: DataFrame) -> DataFrame:
+    """``small`` as a broadcast literal if it has at most BROADCAST_ROWS rows, else unchanged."""
+    table = small.limit(BROADCAST_ROWS + 1).toArrow()
+    if table.num_rows > BROADCAST_ROWS:
+        return small
+    spark = small.sparkSession
+    return F.broadcast(spark.createDataFrame(table, schema=small.schema))
+
+
 def exact_percentiles(
     df: DataFrame, keys: list[str], value: str, probs: dict[str, float]
 ) -> DataFrame:
     """One row per key with a column per entry of ``probs`` (linear interpolation).
 
-    NULL, NaN and infinite values are left out; a key without values has no row. Keys may be NULL.
+    NULL, NaN and infinite values are left out; a key without values has no row. Keys may be
+    NULL. The first pass runs when this is called; its result, one row per key and wanted
+    range, is broadcast if it is small and joined by shuffle otherwise.
     """
     k = [f"_k{i}" for i in range(len(keys))]
     number = F.col(value).cast("double")
-    counted = (
-        df.where(F.abs(number) < float("inf"))  # NaN sorts above infinity
-        .groupBy(*[F.col(c).alias(a) for c, a in zip(keys, k)], number.alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_c"))
-        .withColumn("_r", _value_range(F.col("_v")))
+    values = df.where(F.abs(number) < float("inf")).select(  # NaN sorts above infinity
+        *[F.col(c).alias(a) for c, a in zip(keys, k)],
+        number.alias("_v"),
+        _value_range(number).alias("_r"),
     )
 
     per_key = Window.partitionBy(*k)
     ranges = (
-        counted.groupBy(*k, "_r")
-        .agg(F.sum("_c").alias("_in"))
+        values.groupBy(*k, "_r")
+        .agg(F.count(F.lit(1)).alias("_in"))
         .withColumn("_n", F.sum("_in").over(per_key))
         .withColumn(
             "_to", F.sum("_in").over(per_key.orderBy("_r").rowsBetween(Window.unboundedPreceding, 0))
@@ -57,32 +73,34 @@ def exact_percentiles(
                     (pos - F.floor(pos)).alias("part"),
                 )
             )
-
-    def between(lo: Column, hi: Column):
-        return lambda m: (m["rank"] >= lo) & (m["rank"] < hi)
-
-    wanted = (
-        ranges.withColumn(
-            "_m", F.filter(F.array(*marks), between(F.col("_to") - F.col("_in"), F.col("_to")))
-        )
+    start = F.col("_to") - F.col("_in")
+    wanted = _bounded(
+        ranges.withColumn("_m", F.filter(F.array(*marks), _between(start, F.col("_to"))))
         .where(F.size("_m") > 0)
         .select(
-            *[F.col(c).alias(f"w{c}") for c in k],
-            F.col("_r").alias("w_r"),
-            (F.col("_to") - F.col("_in")).alias("_from"),
-            "_m",
+            *[F.col(c).alias(f"w{c}") for c in k], F.col("_r").alias("w_r"), start.alias("_from"), "_m"
         )
     )
-    # Null-safe throughout: keys may be NULL, and no null filter is inferred for one side,
-    # so both uses of ``counted`` stay identical and share one scan and one exchange.
-    same = F.col("_r").eqNullSafe(F.col("w_r"))
+
+    same = F.col("_r") == F.col("w_r")
     for c in k:
         same = same & F.col(c).eqNullSafe(F.col(f"w{c}"))
+    counted = (
+        values.join(wanted, same, "left_semi")
+        .groupBy(*k, "_r", "_v")
+        .agg(F.count(F.lit(1)).alias("_c"))
+    )
     in_range = Window.partitionBy(*k, "_r").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     picked = (
-        counted.join(wanted, same)
-        .withColumn("_upto", F.col("_from") + F.sum("_c").over(in_range))
-        .withColumn("_m", F.filter("_m", between(F.col("_upto") - F.col("_c"), F.col("_upto"))))
+        counted.withColumn("_upto", F.sum("_c").over(in_range))
+        .join(wanted, same)
+        .withColumn(
+            "_m",
+            F.filter(
+                "_m",
+                _between(F.col("_from") + F.col("_upto") - F.col("_c"), F.col("_from") + F.col("_upto")),
+            ),
+        )
         .where(F.size("_m") > 0)
         .select(*k, "_v", F.explode("_m").alias("_m"))
     )

@@ -23,7 +23,7 @@ def tidy(df: DataFrame) -> DataFrame:
         if isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType)):
             c = c.cast("long")
         elif isinstance(f.dataType, (T.FloatType, T.DoubleType, T.DecimalType)):
-            c = F.round(c.cast("double") + 1e-9, 4)
+            c = F.rint((c.cast("double") + 1e-9) * 1e4) / 1e4
         elif isinstance(f.dataType, T.TimestampType):
             c = c.cast("timestamp_ntz")
         out.append(c.alias(f.name))

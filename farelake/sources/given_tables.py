@@ -106,6 +106,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores if the input has fewer splits than there are cores.
+
+    A small file may be a single row group, which one task would read and process alone. Large
+    inputs have many more splits than cores and are left as they are, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *df.columns)  # by hash: repeatable and without a sort
+
+
 def trips_from(lineitem: DataFrame) -> DataFrame:
     """The raw trip table, one trip per line item."""
     body = trip_expressions(lambda e: f"timestampadd(SECOND, cast({e} AS int), l_shipdate)")
@@ -113,7 +125,7 @@ def trips_from(lineitem: DataFrame) -> DataFrame:
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trips_from(table(spark, sf_dir, "lineitem"))
+    return trips_from(spread(table(spark, sf_dir, "lineitem")))
 
 
 def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
