@@ -8,26 +8,34 @@ table and the rows never meet in one place.
 from __future__ import annotations
 
 import datetime as dt
+import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .joins import BROADCAST_ROWS
 
-PREFIX = 4  # hex digits: at most 65,536 counted rows per stratum
+PREFIX = 4  # hex digits of the md5 that are counted: at most 65,536 buckets per stratum
 
 
 def _digest(key: str, seed: int) -> Column:
     return F.md5(F.concat(F.col(key), F.lit(f"-{seed}")))
 
 
-def _take_smallest(df: DataFrame, quota: DataFrame, strata: list[str], few: bool = True) -> DataFrame:
+def _digits(rows: int, strata: int) -> int:
+    """Digits that leave some thousand rows per bucket, so counting them reduces the data."""
+    return min(PREFIX, max(1, round(math.log(max(rows / max(strata, 1) / 1000, 1), 16))))
+
+
+def _take_smallest(
+    df: DataFrame, quota: DataFrame, strata: list[str], few: bool = True, digits: int | None = None
+) -> DataFrame:
     """The ``_quota`` rows with the smallest ``_h`` of each stratum.
 
     ``quota`` has one row per stratum (columns ``strata`` and ``_quota``); NULL strata have none.
     ``few`` says that the strata have been counted and are few enough to broadcast.
     """
-    bucket = F.substring("_h", 1, PREFIX)
+    bucket = F.substring("_h", 1, digits or PREFIX)
     counts = df.groupBy(*strata, bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_in"))
     running = Window.partitionBy(*strata).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     upto = counts.withColumn("_before", F.sum("_in").over(running) - F.col("_in"))
@@ -76,14 +84,18 @@ def sample_stratified(
     )
     total = quota.agg(F.coalesce(F.sum("_quota"), F.lit(0))).head()[0]
     hashed = trips.withColumn("_h", _digest(key, seed))
-    chosen = _take_smallest(hashed, quota, [stratum], few=strata <= BROADCAST_ROWS)
+    per_stratum = _digits(rows, strata)
+    chosen = _take_smallest(hashed, quota, [stratum], strata <= BROADCAST_ROWS, per_stratum)
     one = trips.sparkSession.range(1)
     if total > n:
-        chosen = _take_smallest(chosen, one.select(F.lit(n).cast("long").alias("_quota")), [])
+        all_n = one.select(F.lit(n).cast("long").alias("_quota"))
+        chosen = _take_smallest(chosen, all_n, [], digits=_digits(total, 1))
     elif total < n:
-        rest = hashed.join(chosen.select(key), key, "left_anti")
+        taken = chosen.select(key)  # ``total`` rows
+        taken = F.broadcast(taken) if total <= BROADCAST_ROWS else taken
+        rest = hashed.join(taken, key, "left_anti")
         more = one.select(F.lit(n - total).cast("long").alias("_quota"))
-        chosen = chosen.unionByName(_take_smallest(rest, more, []))
+        chosen = chosen.unionByName(_take_smallest(rest, more, [], digits=_digits(rows, 1)))
     return chosen.drop("_h")
 
 
