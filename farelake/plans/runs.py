@@ -6,7 +6,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import cleaning, curated, quality, star
@@ -30,18 +30,12 @@ def run_processed(
     """Derive, filter, check, write valid trips and dead letters; returns counts per outcome.
 
     Rows are judged in one expression instead of a filter and a count per check. The counts are
-    observed while the valid rows are written, so nothing is read just to be counted.
+    one aggregate that reads only the judged columns; accumulators observed during the write
+    would count a task again when its executor is lost.
     """
     run_id = run_id or new_run_id()
     judged = quality.etl_outcome(trips, mode=mode)
-    outcomes = [quality.OK, quality.PRE_FILTERED, quality.LOST, *quality.REASON_METRICS]
-    seen = Observation("outcomes")
-    observed = judged.observe(
-        seen,
-        F.count(F.lit(1)).alias("records_processed"),
-        *[F.count_if(F.col("outcome") == o).alias(o) for o in outcomes],
-    )
-    valid = observed.where(F.col("outcome") == quality.OK).drop("failure_reason", "outcome")
+    valid = judged.where(F.col("outcome") == quality.OK).drop("failure_reason", "outcome")
     zones.write_processed(valid, processed_path, clustered)
     rejected = judged.where(~F.col("outcome").isin(quality.OK, quality.PRE_FILTERED, quality.LOST))
     zones.write_dead_letter(
@@ -50,7 +44,12 @@ def run_processed(
         run_id,
         on_dead_letter_error,
     )
-    return {"run_id": run_id, **{k: int(v or 0) for k, v in seen.get.items()}}
+    outcomes = [quality.OK, quality.PRE_FILTERED, quality.LOST, *quality.REASON_METRICS]
+    counts = judged.agg(
+        F.count(F.lit(1)).alias("records_processed"),
+        *[F.count_if(F.col("outcome") == o).alias(o) for o in outcomes],
+    )
+    return {"run_id": run_id, **counts.head().asDict()}
 
 
 def run_curated(processed: DataFrame, curated_path: str) -> dict[str, str]:

@@ -14,12 +14,24 @@ from farelake.streaming import ingest
 from farelake.streaming.windows import windowed_counts
 
 
-def test_scratch_follows_the_cluster_setting(spark, tmp_path):
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        assert scratch_dir(spark, "x").startswith(str(tmp_path))
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+class FakeSession:
+    """Settings only: the folder is fixed when a real session starts."""
+
+    def __init__(self, **settings):
+        self.conf = self
+        self.settings = {k.replace("_", "."): v for k, v in settings.items()}
+
+    def get(self, name, default=None):
+        return self.settings.get(name, default)
+
+
+def test_scratch_follows_the_cluster_setting(spark):
+    shared = FakeSession(spark_checkpoint_dir="hdfs://shared/tmp/", spark_master="yarn")
+    first, second = scratch_dir(shared, "x"), scratch_dir(shared, "x")
+    assert first.startswith("hdfs://shared/tmp/farelake-") and first != second
+    with pytest.raises(RuntimeError):
+        scratch_dir(FakeSession(spark_master="yarn"), "x")
+    assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
 
 
 def test_read_any_formats(spark, tmp_path):
