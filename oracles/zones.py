@@ -139,7 +139,7 @@ SELECT *, named AND msgs = '' AS is_valid,
   CASE WHEN named THEN regexp_extract(key, '[^/]*$') END AS file_name
 FROM (SELECT *, CASE WHEN probs <> '' THEN probs WHEN there THEN '' ELSE 'File not found' END AS msgs FROM (
   SELECT *, bucket <> '' AND key <> '' AS named,
-    event_name LIKE 'ObjectCreated%' AND event_id % 17 <> 0 AS there,
+    event_name LIKE 'ObjectCreated%' AS there,
     concat_ws('; ',
       CASE WHEN key NOT LIKE 'raw/taxi/%' THEN 'Invalid prefix. Expected: raw/taxi/, Got: ' || key[:20] || '...' END,
       CASE WHEN NOT {GOOD_SUFFIX} THEN 'Unsupported file type. Supported: .parquet, .csv, .csv.gz' END,
