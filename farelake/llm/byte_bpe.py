@@ -148,8 +148,8 @@ def decode_bpe(tokens: DataFrame, ranks_path: str, pattern: str, ids: str = "ids
     return map_batches(tokens.select(*map(_quoted, rest)), f"{schema}, `{out}` binary", work)
 
 
-def bpe_round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """Encode and decode in one pass: doc_id, n_tokens, digest of the ids, digest of the decoded bytes.
+def bpe_round_trip(docs: DataFrame, ranks_path: str, pattern: str, with_ids: bool = False) -> DataFrame:
+    """Encode and decode in one pass: doc_id, n_tokens, digest of the ids, digest of the decoded bytes (and the ids).
 
     NULL texts count as empty. Ids are digested as decimals joined by one space.
     """
@@ -158,13 +158,16 @@ def bpe_round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
     def work(rows):
         coder[:] = coder or [PieceCoder(model, pattern)]
-        made = {"doc_id": rows["doc_id"], "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
+        made = {"doc_id": rows["doc_id"], "n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "ids": []}
         for text in rows["text"]:
             ids, decimals, decoded = zip(*coder[0].coded(text)) if text else ((), (), ())
             made["n_tokens"].append(sum(map(len, ids)))
             made["ids_sha256"].append(hashlib.sha256(" ".join(decimals).encode()).hexdigest())
             made["decoded_sha256"].append(hashlib.sha256(b"".join(decoded)).hexdigest())
+            if with_ids:
+                made["ids"].append(list(itertools.chain.from_iterable(ids)))
         return made
 
     kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return map_batches(kept, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", work)
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
+    return map_batches(kept, schema, work)

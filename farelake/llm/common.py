@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,8 +20,14 @@ ARROW_CONF = {
 
 
 def ready(spark: SparkSession) -> SparkSession:
-    """Session settings of the library and bounded Arrow batches."""
+    """Session settings of the library, bounded Arrow batches, and a package that Python workers find.
+
+    Workers look for the package where the driver has it; where executors lack that path, ship it with --py-files.
+    """
     prepare(spark)
+    env, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH")) if x)
     for key, value in ARROW_CONF.items():
         spark.conf.set(key, value)
     return spark

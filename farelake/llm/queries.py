@@ -49,3 +49,70 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adaptive_quality(docs).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from labels outside the held-out fold."""
+    from .toxicity import toxicity
+
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op9_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from rows outside the held-out fold."""
+    from .language_codes import identify_languages
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return identify_languages(docs).select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
+
+
+@query
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page archived and read back."""
+    from .warc import archive_round_trip
+
+    return archive_round_trip(table(spark, sf_dir, "pages"))
+
+
+@query
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate group of every document."""
+    from .simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that every document keeps once repeats of earlier documents are removed."""
+    from .substring_dedup import substring_dedup
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query
+def op1_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PPM and unigram scores of every document, learned from rows outside the held-out fold."""
+    from .ppm import ppm_scores
+
+    return ppm_scores(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op5_threshold_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten best other vectors of every hundredth vector."""
+    from .topk_search import exact_top_k
+
+    return exact_top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@query
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rate and copies of every document once the share of low quality is halved at the same total of tokens."""
+    from .mixing import mixing_rates
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return mixing_rates(docs, table(spark, sf_dir, "labels"), relative={0: 0.5}).select("doc_id", "tokens", "rate", "copies")
