@@ -142,9 +142,18 @@ def quality_flag(distance="trip_distance", fare="fare_amount", speed="avg_speed_
 
 
 def round_half_up(value: str | Column, digits: int) -> Column:
-    """Decimal-style rounding of a double: lifts values a hair off binary near-ties first.
+    """Decimal of a double, rounded half up (away from zero) on the double's shortest text, so 1.005 gives 1.01.
 
-    ``rint`` is plain double arithmetic; ``round`` would go through a decimal text per value.
+    Too large a value for 20 digits before the point is an error, as in a NUMERIC column.
+    """
+    return F.round(_col(value).cast("decimal(38,18)"), digits)
+
+
+def round_stable(value: str | Column, digits: int) -> Column:
+    """Rounding of means and ratios of sums, whose last bits depend on the order of addition.
+
+    Values within 1e-9 of a tie count as the tie, so the result does not change with the number of tasks. Use
+    ``round_half_up`` where a stored value must be rounded exactly.
     """
     v = _col(value)
     scale = float(10**digits)

@@ -49,12 +49,16 @@ def execution_name(files: DataFrame, ts: str = "event_time") -> DataFrame:
 
 
 def dedup_executions(files: DataFrame, ts: str = "event_time", watermark: str = "1 hour") -> DataFrame:
-    """Accepted files by execution name; a redelivered notification starts nothing new.
+    """Accepted files, once per bucket, full key and second of the event; a redelivery starts nothing new.
 
-    A stream forgets a name once the watermark has passed it; a batch looks at all rows.
+    ``execution_name`` is a label only: different files may share it. A batch looks at all rows and keeps the earliest
+    time of a second. A stream keeps the first notification and forgets it once the watermark has passed.
     """
     accepted = execution_name(route_events(files).where("reject_reason IS NULL"), ts)
     slim = accepted.select("execution_name", "bucket", "key", F.col(ts).cast("timestamp").alias(ts))
+    slim = slim.withColumn("_second", F.date_trunc("second", ts))
+    same = ["bucket", "key", "_second"]
     if files.isStreaming:
-        return slim.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(["execution_name"])
-    return slim.dropDuplicates(["execution_name"])
+        return slim.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(same).drop("_second")
+    once = slim.groupBy(*same).agg(F.first("execution_name").alias("execution_name"), F.min(ts).alias(ts))
+    return once.select("execution_name", "bucket", "key", ts)

@@ -1,7 +1,8 @@
 """Log questions over a ``logs`` table: ts, log_group, type, message, duration, memory columns.
 
-Every question is ``f(logs, start, end, groups, limit)``: a time range, group patterns with
-``*`` and an upper bound on the reported rows (``None`` reports all).
+Every question is ``f(logs, start, end, groups, last_hours, limit)``: a time range, group patterns with ``*`` that hold
+from the start of the name, and an upper bound on the reported rows. Questions about the most frequent or the newest
+rows take ``k`` instead. Both are off by default: ``None`` reports all rows.
 """
 
 from __future__ import annotations
@@ -13,15 +14,15 @@ from ..functions import log_field
 from .percentiles import with_percentiles
 
 # Which group patterns a question looks at.
-HANDLERS = ("*/lambda/*",)
-JOBS = ("*glue/*",)
-STATES = ("*/states/*",)
-UPLOADS = ("*/lambda/s3-notification-handler",)
+HANDLERS = ("/lambda/*",)
+JOBS = ("/glue/*",)
+STATES = ("/states/*",)
+UPLOADS = ("/lambda/s3-notification-handler",)
 EVERYTHING = HANDLERS + JOBS
 
 
-def log_query(logs: DataFrame, start=None, end=None, groups=None, last_hours: float | None = None):
-    """Lines of a time range [start, end) and of the groups that match a pattern."""
+def log_query(logs: DataFrame, start=None, end=None, groups=None, last_hours: float | None = None, limit: int | None = None):
+    """Lines of a time range [start, end) and of the groups that match a pattern; with ``limit`` the newest of them."""
     out = logs
     if last_hours is not None:
         until = F.current_timestamp() if end is None else F.lit(end).cast("timestamp")
@@ -38,7 +39,7 @@ def log_query(logs: DataFrame, start=None, end=None, groups=None, last_hours: fl
         for pattern in groups:
             hit = hit | F.col("log_group").like(pattern.replace("_", r"\_").replace("*", "%"))
         out = out.where(hit)
-    return out
+    return out if limit is None else out.orderBy(F.desc("ts"), F.desc("event_id")).limit(limit)
 
 
 def _bin(period: str) -> Column:
@@ -55,24 +56,23 @@ def _top(df: DataFrame, by: list[Column], names: list[str], count: str, k: int |
     return _capped(grouped, k, F.desc(count), *names)
 
 
-def _least(a: int | None, b: int) -> int:
-    return b if a is None else min(a, b)
+# The expressions that follow in the questions below.
 
 
-def log_failed_records(logs, start=None, end=None, groups=EVERYTHING, limit=100) -> DataFrame:
-    kept = log_query(logs, start, end, groups).where(F.col("message").rlike("ERROR|FAIL|Exception"))
+def log_failed_records(logs, start=None, end=None, groups=EVERYTHING, last_hours=None, k=None) -> DataFrame:
+    kept = log_query(logs, start, end, groups, last_hours).where(F.col("message").rlike("ERROR|FAIL|Exception"))
     pattern = "(ERROR|FAIL|Exception): (.*)"
     return _top(
         kept,
         [log_field("message", pattern, 1), log_field("message", pattern, 2)],
         ["error_type", "error_message"],
         "count",
-        _least(limit, 20),
+        k,
     )
 
 
-def log_processing_time(logs, start=None, end=None, groups=HANDLERS, limit=100) -> DataFrame:
-    kept = log_query(logs, start, end, groups).where("type = 'REPORT'").withColumn("bin", _bin("5 minutes"))
+def log_processing_time(logs, start=None, end=None, groups=HANDLERS, last_hours=None, limit=None) -> DataFrame:
+    kept = log_query(logs, start, end, groups, last_hours).where("type = 'REPORT'").withColumn("bin", _bin("5 minutes"))
     grouped = kept.groupBy("bin").agg(
         F.avg("duration").alias("avg_duration"),
         F.max("duration").alias("max_duration"),
@@ -82,21 +82,21 @@ def log_processing_time(logs, start=None, end=None, groups=HANDLERS, limit=100)
     return _capped(out, limit, F.desc("bin"))
 
 
-def log_error_patterns(logs, start=None, end=None, groups=EVERYTHING, limit=100) -> DataFrame:
-    kept = log_query(logs, start, end, groups).where(F.col("message").rlike("ERROR|Exception|Error"))
+def log_error_patterns(logs, start=None, end=None, groups=EVERYTHING, last_hours=None, k=None) -> DataFrame:
+    kept = log_query(logs, start, end, groups, last_hours).where(F.col("message").rlike("ERROR|Exception|Error"))
     return _top(
         kept,
         [log_field("message", r"(\w+Exception): (.*)", 1)],
         ["error_class"],
         "error_count",
-        _least(limit, 10),
+        k,
     )
 
 
-def log_performance(logs, start=None, end=None, groups=HANDLERS, limit=100) -> DataFrame:
+def log_performance(logs, start=None, end=None, groups=HANDLERS, last_hours=None, limit=None) -> DataFrame:
     used = F.col("max_memory_used") / F.nullif(F.col("memory_size"), F.lit(0))
     out = (
-        log_query(logs, start, end, groups)
+        log_query(logs, start, end, groups, last_hours)
         .where("type = 'REPORT'")
         .groupBy(_bin("5 minutes"))
         .agg(
@@ -108,18 +108,18 @@ def log_performance(logs, start=None, end=None, groups=HANDLERS, limit=100) -> D
     return _capped(out, limit, F.desc("bin"))
 
 
-def log_errors_detailed(logs, start=None, end=None, groups=HANDLERS, limit=50) -> DataFrame:
-    kept = log_query(logs, start, end, groups).where(F.col("message").rlike("ERROR|Error|error"))
+def log_errors_detailed(logs, start=None, end=None, groups=HANDLERS, last_hours=None, k=None) -> DataFrame:
+    kept = log_query(logs, start, end, groups, last_hours).where(F.col("message").rlike("ERROR|Error|error"))
     return _capped(
-        kept.select("ts", "event_id", "message"), _least(limit, 50), F.desc("ts"), F.desc("event_id")
+        kept.select("ts", "event_id", "message"), k, F.desc("ts"), F.desc("event_id")
     )
 
 
-def log_job_metrics(logs, start=None, end=None, groups=JOBS, limit=100) -> DataFrame:
+def log_job_metrics(logs, start=None, end=None, groups=JOBS, last_hours=None, limit=None) -> DataFrame:
     records = log_field("message", r"records processed: (\d+)").cast("long")
     seconds = log_field("message", r"execution time: (\d+)").cast("long")
     out = (
-        log_query(logs, start, end, groups)
+        log_query(logs, start, end, groups, last_hours)
         .where(F.col("message").rlike("Job run succeeded|Job run failed|records processed"))
         .groupBy(_bin("1 hour"))
         .agg(F.sum(records).alias("total_records"), F.avg(seconds).alias("avg_exec_time"))
@@ -127,15 +127,15 @@ def log_job_metrics(logs, start=None, end=None, groups=JOBS, limit=100) -> DataF
     return _capped(out, limit, F.desc("bin"))
 
 
-def log_job_failures(logs, start=None, end=None, groups=JOBS, limit=100) -> DataFrame:
-    kept = log_query(logs, start, end, groups).where(F.col("message").rlike("FAILED|Exception|Error"))
-    return _top(kept, [F.col("message")], ["error_message"], "failure_count", _least(limit, 20))
+def log_job_failures(logs, start=None, end=None, groups=JOBS, last_hours=None, k=None) -> DataFrame:
+    kept = log_query(logs, start, end, groups, last_hours).where(F.col("message").rlike("FAILED|Exception|Error"))
+    return _top(kept, [F.col("message")], ["error_message"], "failure_count", k)
 
 
-def log_upload_tracking(logs, start=None, end=None, groups=UPLOADS, limit=100) -> DataFrame:
+def log_upload_tracking(logs, start=None, end=None, groups=UPLOADS, last_hours=None, limit=None) -> DataFrame:
     size = log_field("message", r'"size_mb": ([\d.]+)').cast("double")
     out = (
-        log_query(logs, start, end, groups)
+        log_query(logs, start, end, groups, last_hours)
         .where(F.col("message").rlike("S3_FILE_UPLOADED"))
         .groupBy(_bin("1 hour"))
         .agg(F.sum(size).alias("total_mb"), F.count(F.lit(1)).alias("file_count"))
@@ -143,17 +143,17 @@ def log_upload_tracking(logs, start=None, end=None, groups=UPLOADS, limit=100) -
     return _capped(out, limit, F.desc("bin"))
 
 
-def log_quality_issues(logs, start=None, end=None, groups=EVERYTHING, limit=100) -> DataFrame:
+def log_quality_issues(logs, start=None, end=None, groups=EVERYTHING, last_hours=None, limit=None) -> DataFrame:
     words = "validation|quality|invalid|missing"
-    kept = log_query(logs, start, end, groups).where(F.col("message").rlike(words))
+    kept = log_query(logs, start, end, groups, last_hours).where(F.col("message").rlike(words))
     kind = log_field("message", f"({words})[^:]*: (.*)", 1)
     return _top(kept, [kind], ["issue_type"], "issue_count", limit)
 
 
-def log_executions(logs, start=None, end=None, groups=STATES, limit=100) -> DataFrame:
+def log_executions(logs, start=None, end=None, groups=STATES, last_hours=None, limit=None) -> DataFrame:
     pattern = "(ExecutionStarted|ExecutionSucceeded|ExecutionFailed)"
     out = (
-        log_query(logs, start, end, groups)
+        log_query(logs, start, end, groups, last_hours)
         .where(F.col("message").rlike(pattern))
         .groupBy(log_field("message", pattern).alias("execution_status"), _bin("1 hour"))
         .agg(F.count(F.lit(1)).alias("count"))
@@ -161,26 +161,26 @@ def log_executions(logs, start=None, end=None, groups=STATES, limit=100) -> Data
     return _capped(out, limit, F.desc("bin"), "execution_status")
 
 
-def log_underutilized(logs, start=None, end=None, groups=HANDLERS, limit=None) -> DataFrame:
+def log_underutilized(logs, start=None, end=None, groups=HANDLERS, last_hours=None, limit=None) -> DataFrame:
     used = F.col("max_memory_used") / F.nullif(F.col("memory_size"), F.lit(0))
-    kept = log_query(logs, start, end, groups).where("type = 'REPORT'")
+    kept = log_query(logs, start, end, groups, last_hours).where("type = 'REPORT'")
     return kept.where(F.col("max_memory_used") < F.col("memory_size") * 0.5).agg(
         F.count(F.lit(1)).alias("underutilized_invocations"), (F.avg(used) * 100).alias("avg_memory_util")
     )
 
 
-def log_hourly_activity(logs, start=None, end=None, groups=EVERYTHING, limit=100) -> DataFrame:
-    out = log_query(logs, start, end, groups).groupBy(_bin("1 hour")).agg(
+def log_hourly_activity(logs, start=None, end=None, groups=EVERYTHING, last_hours=None, limit=None) -> DataFrame:
+    out = log_query(logs, start, end, groups, last_hours).groupBy(_bin("1 hour")).agg(
         F.count(F.lit(1)).alias("event_count")
     )
     return _capped(out, limit, F.desc("bin"))
 
 
-def log_job_states(logs, start=None, end=None, groups=JOBS, limit=100) -> DataFrame:
+def log_job_states(logs, start=None, end=None, groups=JOBS, last_hours=None, limit=None) -> DataFrame:
     """Final job states per five minutes; the state words match in any letter case."""
     pattern = "(?i)(SUCCEEDED|FAILED|TIMEOUT)"
     out = (
-        log_query(logs, start, end, groups)
+        log_query(logs, start, end, groups, last_hours)
         .where(F.col("message").rlike(pattern))
         .groupBy(_bin("5 minutes"))
         .agg(F.count(F.lit(1)).alias("count"))

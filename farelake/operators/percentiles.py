@@ -18,8 +18,9 @@ _SHIFT = 2000 * RANGES_PER_DOUBLING  # above any |log2| of a finite double
 
 
 def _value_range(v: Column) -> Column:
-    """Number of the value range; grows with the value, 0 for 0, about 0.5 % wide."""
-    spread = F.floor(F.log2(F.abs(v)) * RANGES_PER_DOUBLING) + _SHIFT
+    """Number of the value range; grows with the value, 0 for 0, about 0.5 % wide. Infinite values have their own."""
+    exponent = F.when(F.abs(v) == float("inf"), F.lit(2000.0)).otherwise(F.log2(F.abs(v)))
+    spread = F.floor(exponent * RANGES_PER_DOUBLING) + _SHIFT
     return F.when(v > 0, spread).when(v < 0, -spread).otherwise(F.lit(0))
 
 
@@ -41,13 +42,13 @@ def exact_percentiles(
 ) -> DataFrame:
     """One row per key with a column per entry of ``probs`` (linear interpolation).
 
-    NULL, NaN and infinite values are left out; a key without values has no row. Keys may be
+    NULL and NaN are left out, infinite values are ranked; a key without values has no row. Keys may be
     NULL. The first pass runs when this is called; its result, one row per key and wanted
     range, is broadcast if it is small and joined by shuffle otherwise.
     """
     k = [f"_k{i}" for i in range(len(keys))]
     number = F.col(value).cast("double")
-    values = df.where(F.abs(number) < float("inf")).select(  # NaN sorts above infinity
+    values = df.where(number.isNotNull() & ~F.isnan(number)).select(
         *[F.col(c).alias(a) for c, a in zip(keys, k)],
         number.alias("_v"),
         _value_range(number).alias("_r"),
@@ -111,7 +112,8 @@ def exact_percentiles(
     columns = []
     for i, name in enumerate(probs):
         low, high, part = at(2 * i, "_v"), at(2 * i + 1, "_v"), at(2 * i, "_m.part")
-        columns.append((low + (high - low) * part).alias(name))
+        # between equal or infinite ends there is nothing to interpolate
+        columns.append(F.when((low == high) | (part == 0), low).otherwise(low + (high - low) * part).alias(name))
     out = picked.groupBy(*k).agg(*columns)
     return out.select(*[F.col(a).alias(c) for c, a in zip(keys, k)], *probs)
 

@@ -122,8 +122,16 @@ def profile_datetime(df: DataFrame, columns: list[str] | None = None) -> DataFra
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
-    """Rows that repeat an earlier row; copies collapse map-side, so a mass of copies is cheap."""
-    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    """Rows that repeat an earlier row; copies collapse map-side, so a mass of copies is cheap.
+
+    Rows meet by a 256-bit digest of their values as text (with -0.0 as 0.0), so only the digest is shuffled.
+    """
+    values = [
+        F.coalesce(F.concat(F.lit("="), (F.col(f"`{c}`") + F.lit(0.0) if t in ("double", "float") else F.col(f"`{c}`")).cast("string")), F.lit("-"))
+        for c, t in df.dtypes
+    ]
+    sizes = F.concat_ws(",", *[F.length(v) for v in values])  # keeps apart values that meet at different places
+    groups = df.select(F.sha2(F.concat_ws("|", sizes, *values), 256).alias("_row")).groupBy("_row").agg(F.count(F.lit(1)).alias("_n"))
     return groups.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("row_count"),
         F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates"),
@@ -154,6 +162,14 @@ def sample_statistics(trips: DataFrame) -> DataFrame:
     )
     # Two columns of one scalar subquery; Spark runs it once.
     m = medians.scalar()
+    # counts per value instead of one buffer with all distinct values
+    common = (
+        trips.where("passenger_count IS NOT NULL")
+        .groupBy("passenger_count")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.max_by("passenger_count", F.struct("n", (-F.col("passenger_count")).alias("smallest"))))
+        .scalar()
+    )
     return trips.agg(
         F.count(F.lit(1)).alias("total_trips"),
         F.min("tpep_pickup_datetime").alias("date_start"),
@@ -163,5 +179,4 @@ def sample_statistics(trips: DataFrame) -> DataFrame:
         F.avg("fare_amount").alias("fare_mean"),
         F.sum("fare_amount").alias("fare_total"),
         F.avg("passenger_count").alias("passengers_mean"),
-        F.mode("passenger_count", True).alias("passengers_mode"),
-    ).withColumns({"distance_median": m["distance"], "fare_median": m["fare"]})
+    ).withColumns({"passengers_mode": common, "distance_median": m["distance"], "fare_median": m["fare"]})

@@ -145,7 +145,7 @@ def run_all_checks(df: DataFrame, rules: DQRules = FULL_RULES, mode="complete"):
     return split(tag(df, rules, mode))
 
 
-def etl_outcome(trips: DataFrame, rules: DQRules = JOB_RULES, mode: str = "strict") -> DataFrame:
+def etl_outcome(trips: DataFrame, rules: DQRules = JOB_RULES, mode: str = "complete") -> DataFrame:
     """Derived trips with the job's verdict: derive, basic filter, then the four checks.
 
     The basic filter runs first, so a row with a missing time, distance, fare or passenger
@@ -157,7 +157,7 @@ def etl_outcome(trips: DataFrame, rules: DQRules = JOB_RULES, mode: str = "stric
     return tagged.withColumn("outcome", verdict)
 
 
-def etl_classify(trips: DataFrame, mode: str = "strict") -> tuple[DataFrame, DataFrame]:
+def etl_classify(trips: DataFrame, mode: str = "complete") -> tuple[DataFrame, DataFrame]:
     """(valid, invalid) of the ETL job."""
     judged = etl_outcome(trips, mode=mode)
     valid = judged.where(F.col("outcome") == OK).drop("failure_reason", "outcome")

@@ -124,10 +124,10 @@ def sample_time_range(
 def sample_validation(
     trips: DataFrame, sample: DataFrame, columns: list[str] | None = None
 ) -> DataFrame:
-    """Mean of the first ten numeric columns in the data and in the sample, and the difference in %."""
+    """Mean of numeric columns (all, or those given) in the data and in the sample, and the difference in %."""
     if columns is None:
         numeric = ("int", "bigint", "double", "float", "smallint")
-        columns = [c for c, t in trips.dtypes if t in numeric][:10]
+        columns = [c for c, t in trips.dtypes if t in numeric]
 
     def means(df: DataFrame, name: str) -> DataFrame:
         row = df.agg(*[F.avg(c).alias(c) for c in columns])

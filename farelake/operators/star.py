@@ -116,10 +116,11 @@ def build_fact_trips(trips: DataFrame, dim_time: DataFrame | None = None) -> Dat
     minutes = fn.minutes_between(PICKUP, DROPOFF)
     if "trip_duration" in trips.columns:
         minutes = F.coalesce("trip_duration", minutes)
+    # Measures of the fact.
     money = (
-        "fare_amount extra mta_tax tip_amount tolls_amount improvement_surcharge"
-        " congestion_surcharge total_amount"
-    ).split()
+        "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge", "congestion_surcharge",
+        "total_amount",
+    )
     return loadable(keyed).select(
         F.col("trip_ref").alias("trip_id"),
         "time_id",
@@ -298,10 +299,11 @@ def build_dim_rate_code(spark: SparkSession) -> DataFrame:
 
 def build_fact_taxi_trips(processed: DataFrame) -> DataFrame:
     """Facts with calendar and clock keys for both ends; keys are formulas, so no join is needed."""
+    # Measures of the fact.
     money = (
-        "trip_distance trip_duration_minutes fare_amount extra mta_tax tip_amount tolls_amount"
-        " improvement_surcharge total_amount congestion_surcharge airport_fee avg_speed_mph"
-    ).split()
+        "trip_distance", "trip_duration_minutes", "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount",
+        "improvement_surcharge", "total_amount", "congestion_surcharge", "airport_fee", "avg_speed_mph",
+    )
     return processed.select(
         F.col("trip_ref").alias("trip_key"),
         fn.calendar_key(PICKUP).alias("pickup_date_key"),

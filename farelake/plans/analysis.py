@@ -44,7 +44,7 @@ def q1_1_monthly_revenue(daily: DataFrame, months: int = 24) -> DataFrame:
         .withColumns(
             {
                 "month_label": F.date_format("month", "yyyy-MM"),
-                "revenue_growth_pct": fn.round_half_up(
+                "revenue_growth_pct": fn.round_stable(
                     _over(
                         F.col("total_revenue") - F.col("prev_month_revenue"),
                         F.col("prev_month_revenue"),
@@ -115,7 +115,7 @@ def q1_4_top_days(daily: DataFrame, as_of=None, days: int = 365, k: int = 20) ->
             "total_revenue",
             "avg_fare",
             "avg_tip",
-            fn.round_half_up(score, 2).alias("revenue_zscore"),
+            fn.round_stable(score, 2).alias("revenue_zscore"),
         )
         .orderBy(F.desc("total_revenue"), "trip_date")
         .limit(k)
@@ -139,7 +139,7 @@ def q2_1_top_routes(routes: DataFrame, k: int = 20) -> DataFrame:
             "avg_speed_mph",
             "total_revenue",
             "volume_category",
-            fn.round_half_up(_over(F.col("avg_fare"), F.col("avg_duration_minutes")), 2).alias(
+            fn.round_stable(_over(F.col("avg_fare"), F.col("avg_duration_minutes")), 2).alias(
                 "revenue_per_minute"
             ),
         )
@@ -159,8 +159,8 @@ def q2_2_profitable_routes(routes: DataFrame, min_trips: int = 50, k: int = 20)
             "avg_distance",
             "avg_duration_minutes",
             "total_revenue",
-            fn.round_half_up(_over(F.col("avg_fare"), F.col("avg_distance")), 2).alias("fare_per_mile"),
-            fn.round_half_up(_over(F.col("avg_tip"), F.col("avg_fare")) * 100, 2).alias("tip_percentage"),
+            fn.round_stable(_over(F.col("avg_fare"), F.col("avg_distance")), 2).alias("fare_per_mile"),
+            fn.round_stable(_over(F.col("avg_tip"), F.col("avg_fare")) * 100, 2).alias("tip_percentage"),
         )
         .orderBy(F.desc("avg_fare"), *_ROUTE_TIE)
         .limit(k)
@@ -183,7 +183,7 @@ def q2_3_short_frequent(
             "avg_distance",
             "avg_fare",
             "avg_duration_minutes",
-            fn.round_half_up(per_mile, 2).alias("trips_per_mile_efficiency"),
+            fn.round_stable(per_mile, 2).alias("trips_per_mile_efficiency"),
         )
         .orderBy(F.desc("trip_count"), *_ROUTE_TIE)
         .limit(k)
@@ -249,8 +249,8 @@ def q3_2_rush_compare(hourly: DataFrame) -> DataFrame:
         )
         .withColumns(
             {
-                "expected_duration_if_no_traffic": fn.round_half_up(expected, 2),
-                "traffic_delay_minutes": fn.round_half_up(F.col("avg_duration") - expected, 2),
+                "expected_duration_if_no_traffic": fn.round_stable(expected, 2),
+                "traffic_delay_minutes": fn.round_stable(F.col("avg_duration") - expected, 2),
             }
         )
         .orderBy("time_period", "day_type")
@@ -310,10 +310,10 @@ def q4_1_tip_by_payment(payments: DataFrame) -> DataFrame:
         "tip_frequency_percentage",
         "avg_fare",
         "avg_trip_distance",
-        fn.round_half_up(_over(tips, F.col("total_transactions").cast("double")), 2).alias(
+        fn.round_stable(_over(tips, F.col("total_transactions").cast("double")), 2).alias(
             "tip_per_transaction"
         ),
-        fn.round_half_up(_over(tips, F.col("total_fare_amount")) * 100, 2).alias("overall_tip_rate"),
+        fn.round_stable(_over(tips, F.col("total_fare_amount")) * 100, 2).alias("overall_tip_rate"),
     ).orderBy(F.desc("total_transactions"), "payment_type_name")
 
 

@@ -6,12 +6,14 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import cleaning, curated, quality, star
 from ..operators.profiling import sample_statistics
 from ..sources import zones
+from . import star_queries
 
 
 def new_run_id() -> str:
@@ -29,6 +31,8 @@ def run_processed(
 ) -> dict[str, int | str]:
     """Derive, filter, check, write valid trips and dead letters; returns counts per outcome.
 
+    Both outputs are written under the run's id, so a run that is repeated replaces its own rows.
+
     Rows are judged in one expression instead of a filter and a count per check. The counts are
     one aggregate that reads only the judged columns; accumulators observed during the write
     would count a task again when its executor is lost.
@@ -36,7 +40,7 @@ def run_processed(
     run_id = run_id or new_run_id()
     judged = quality.etl_outcome(trips, mode=mode)
     valid = judged.where(F.col("outcome") == quality.OK).drop("failure_reason", "outcome")
-    zones.write_processed(valid, processed_path, clustered)
+    zones.write_processed(valid, processed_path, clustered, run_id)
     rejected = judged.where(~F.col("outcome").isin(quality.OK, quality.PRE_FILTERED, quality.LOST))
     zones.write_dead_letter(
         rejected.drop("outcome").withColumn("failed_at", F.current_timestamp()),
@@ -52,6 +56,12 @@ def run_processed(
     return {"run_id": run_id, **counts.head().asDict()}
 
 
+def processed_report(spark: SparkSession, processed_path: str, run_id: str) -> tuple[DataFrame, DataFrame]:
+    """What a processed run reports at its end, from its stored rows: averages with pickup range, rows per month."""
+    stored = spark.read.parquet(processed_path).where(F.col("run_id") == run_id)
+    return quality.quality_report(stored), quality.records_by_month(stored)
+
+
 def run_curated(processed: DataFrame, curated_path: str) -> dict[str, str]:
     """Write the six curated datasets; each scan of the zone reads only the columns it needs."""
     paths = {}
@@ -65,19 +75,24 @@ STAR_TABLES = ("dim_location", "dim_time", "dim_rate", "fact_trips")
 
 
 def run_star(trips: DataFrame, root: str, load_id: str | None = None, enforce: bool = True) -> str:
-    """Load the star schema all or nothing.
+    """Extend the star schema by a load, all or nothing.
 
-    Tables go to a folder of their own and the load becomes visible with one appended commit
-    record, so a failure half-way leaves the previous load in place. With ``enforce`` a violated
-    constraint stops the load, as it would stop the transaction.
+    Zones and times that the current dimensions lack are inserted; facts whose trip is not there yet are added. Each
+    load has a folder of its own (whole dimensions, new facts only) and becomes visible with one appended commit record,
+    so a failure half-way leaves the loads before it in place and a load that is repeated adds nothing. With ``enforce``
+    a violated constraint stops the load, as it would stop the transaction.
     """
     spark = trips.sparkSession
     load_id = load_id or new_run_id()
+    now = current_star(spark, root) if _commits(spark, root) is not None else {}
+    facts = star.build_fact_trips(trips)
+    if now:
+        facts = facts.join(now["fact_trips"].select("trip_id"), "trip_id", "left_anti")
     tables = {
-        "dim_location": star.build_dim_location(trips),
-        "dim_time": star.build_dim_time(trips),
+        "dim_location": star.build_dim_location(trips, now.get("dim_location")),
+        "dim_time": star.build_dim_time(trips, now.get("dim_time")),
         "dim_rate": star.build_dim_rate(spark),
-        "fact_trips": star.build_fact_trips(trips),
+        "fact_trips": facts,
     }
     stored = {}
     for name, df in tables.items():
@@ -99,9 +114,27 @@ def run_star(trips: DataFrame, root: str, load_id: str | None = None, enforce: b
 
 
 def current_star(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """Tables of the newest committed load."""
-    newest = spark.read.parquet(f"{root}/commits").orderBy(F.desc("committed_at")).head()
-    return {t: spark.read.parquet(f"{root}/loads/{newest.load_id}/{t}") for t in STAR_TABLES}
+    """Dimensions of the newest committed load and the facts of all committed loads."""
+    loads = [r.load_id for r in _commits(spark, root).orderBy("committed_at").select("load_id").collect()]
+    tables = {t: spark.read.parquet(f"{root}/loads/{loads[-1]}/{t}") for t in STAR_TABLES[:-1]}
+    return tables | {"fact_trips": spark.read.parquet(*[f"{root}/loads/{x}/fact_trips" for x in dict.fromkeys(loads)])}
+
+
+def _commits(spark: SparkSession, root: str) -> DataFrame | None:
+    try:
+        return spark.read.schema("load_id string, committed_at timestamp").parquet(f"{root}/commits")
+    except AnalysisException:  # no load yet
+        return None
+
+
+def star_questions(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The sample questions that end a load, on the stored tables."""
+    t = current_star(spark, root)
+    return {
+        "rds_top_pickups": star_queries.rds_top_pickups(t["fact_trips"], t["dim_location"], k=10),
+        "rds_hourly": star_queries.rds_hourly(t["fact_trips"], t["dim_time"]),
+        "rds_weekend": star_queries.rds_weekend(t["fact_trips"], t["dim_time"]),
+    }
 
 
 def run_week1(

@@ -210,7 +210,7 @@ def aq10_speed_by_tod(fact: DataFrame, clock: DataFrame) -> DataFrame:
 
 
 def _rounded(name: str):
-    return fn.round_half_up(mean_of(name), 2)
+    return fn.round_stable(mean_of(name), 2)
 
 
 def rds_top_pickups(fact: DataFrame, dim_location: DataFrame, k: int = 5) -> DataFrame:

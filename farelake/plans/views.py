@@ -25,11 +25,11 @@ def tips_given() -> Column:
 
 def share(count: str, digits: int) -> Column:
     """Percent of the total over a result that has a handful of rows (labels, codes)."""
-    return fn.round_half_up(F.col(count) * 100.0 / F.sum(count).over(Window.partitionBy()), digits)
+    return fn.round_stable(F.col(count) * 100.0 / F.sum(count).over(Window.partitionBy()), digits)
 
 
 def rate(part: str, whole: str, digits: int = 2) -> Column:
-    return fn.round_half_up(F.col(part) * 100.0 / F.col(whole), digits)
+    return fn.round_stable(F.col(part) * 100.0 / F.col(whole), digits)
 
 
 def _moving_forward() -> Column:
@@ -212,7 +212,7 @@ def location_performance(curated: DataFrame) -> DataFrame:
     p = _volume_thresholds(curated)
     return routes.withColumns(
         {
-            "percentage_of_total": fn.round_half_up(F.col("trip_count") * 100.0 / total, 4),
+            "percentage_of_total": fn.round_stable(F.col("trip_count") * 100.0 / total, 4),
             "volume_category": F.when(F.col("trip_count") >= p[0], "High Volume")
             .when(F.col("trip_count") >= p[1], "Medium Volume")
             .otherwise("Low Volume"),

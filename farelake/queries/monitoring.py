@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import file_events as fe
 from ..operators import log_analytics as lg
 from ..operators import metric_alarms as ma
@@ -24,16 +26,16 @@ for _f in (
     query(_f.__name__)(lambda spark, d, f=_f: f(_trips(spark, d)))
 
 
-@query("duplicate_rows")
+query("duplicate_rows")(lambda spark, d: pf.duplicate_rows(_trips(spark, d)))
+
+
+@query("duplicate_rows_columns")
 def _duplicates(spark, sf_dir):
     """Whole rows never repeat in the given trips; these columns do."""
     columns = ("VendorID", "PULocationID", "DOLocationID", "payment_type", "tolls_amount")
     return pf.duplicate_rows(_trips(spark, sf_dir).select(*columns))
 
 
-query("duplicate_rows_whole")(lambda spark, d: pf.duplicate_rows(_trips(spark, d)))
-
-
 query("sample_random")(lambda spark, d: sm.sample_random(_trips(spark, d), 1000))
 query("sample_stratified")(
     lambda spark, d: sm.sample_stratified(_trips(spark, d), 1003, "PULocationID")
@@ -49,14 +51,15 @@ def _validation(spark, sf_dir):
     return sm.sample_validation(trips, sm.sample_random(trips, 1000))
 
 
+# Questions about the most frequent or newest rows, with the k that their reports show.
+for _f, _k in ((lg.log_failed_records, 20), (lg.log_error_patterns, 10), (lg.log_errors_detailed, 50), (lg.log_job_failures, 20)):
+    query(_f.__name__)(lambda spark, d, f=_f, k=_k: f(given.logs(spark, d), k=k))
+    query(f"{_f.__name__}_all")(lambda spark, d, f=_f: f(given.logs(spark, d)))
+
 for _f in (
-    lg.log_failed_records,
     lg.log_processing_time,
-    lg.log_error_patterns,
     lg.log_performance,
-    lg.log_errors_detailed,
     lg.log_job_metrics,
-    lg.log_job_failures,
     lg.log_upload_tracking,
     lg.log_quality_issues,
     lg.log_executions,
@@ -64,7 +67,7 @@ for _f in (
     lg.log_hourly_activity,
     lg.log_job_states,
 ):
-    query(_f.__name__)(lambda spark, d, f=_f: f(given.logs(spark, d), limit=None))
+    query(_f.__name__)(lambda spark, d, f=_f: f(given.logs(spark, d)))
 
 query("log_query")(
     lambda spark, d: lg.log_query(given.logs(spark, d), "2024-01-05", "2024-01-20", lg.HANDLERS)
@@ -95,9 +98,10 @@ query("route_events")(
 
 @query("dedup_executions")
 def _dedup(spark, sf_dir):
-    """Every notification arrives twice."""
+    """Every notification arrives twice, and a second file of the same base name in another folder with it."""
     files = given.file_events(spark, sf_dir)
-    return fe.dedup_executions(files.unionByName(files))
+    other = files.withColumn("key", F.replace("key", F.lit("raw/taxi/"), F.lit("raw/taxi/other/")))
+    return fe.dedup_executions(files.unionByName(files).unionByName(other))
 
 
 query("windowed_counts")(lambda spark, d: windowed_counts(given.table(spark, d, "events"), "5 minutes"))

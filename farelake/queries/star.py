@@ -62,10 +62,9 @@ def _get_or_insert(spark, sf_dir):
 
 @query("fact_lookup")
 def _lookup(spark, sf_dir):
-    """Trips matched against a time dimension that knows only the first vendor's trips."""
+    """Trips matched against the time dimension of all trips."""
     trips = _trips(spark, sf_dir)
-    known = s.build_dim_time(trips.where("VendorID = 1"))
-    return s.fact_lookup(trips, known).select("trip_ref", "time_id")
+    return s.fact_lookup(trips, s.build_dim_time(trips)).select("trip_ref", "time_id")
 
 
 def _usage(dim, fact, dim_key, fact_key):

@@ -18,7 +18,7 @@ from ..session import scratch_dir
 from ..sources import given_tables as given
 from ..sources import zones as z
 from ..streaming import ingest
-from ..streaming.windows import windowed_counts
+from ..streaming.windows import windowed_counts, with_open_windows
 
 CLOCK = ("quality_check_timestamp", "processed_at", "processed_timestamp", "failed_at")
 YEAR, MONTH = 1998, 3
@@ -102,14 +102,22 @@ def _export_csv(spark, sf_dir):
 
 @query("discover_schema")
 def _discover(spark, sf_dir):
-    """Crawled twice: the second crawl adds the partitions of a later write."""
+    """Crawled twice: the second crawl adds the partitions and the new column of a later write."""
     name, path = _table_name("crawled"), scratch_dir(spark, "crawl")
-    processed = _processed(spark, sf_dir).select("trip_ref", "fare_amount", "year", "month")
-    z.write_processed(processed.where(f"year < {YEAR}"), path)
+    processed = _processed(spark, sf_dir).select("trip_ref", "fare_amount", "tip_amount", "year", "month")
+    z.write_processed(processed.where(f"year < {YEAR}").drop("tip_amount"), path)
     z.discover_schema(spark, path, name)
     z.write_processed(processed.where(f"year >= {YEAR}"), path)
     found = z.discover_schema(spark, path, name)
-    return found.groupBy("year", "month").agg(F.count(F.lit(1)).alias("trips"))
+    return found.groupBy("year", "month").agg(F.count(F.lit(1)).alias("trips"), F.count("tip_amount").alias("with_tip"))
+
+
+@query("write_fact_taxi_trips")
+def _write_fact(spark, sf_dir):
+    """The warehouse fact in its physical layout, read back."""
+    path = scratch_dir(spark, "fact_layout")
+    s.lay_out_fact(s.build_fact_taxi_trips(raw_to_processed(_trips(spark, sf_dir)))).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 @query("verify_schema")
@@ -143,29 +151,30 @@ def _materialize(spark, sf_dir):
 # -- whole runs ------------------------------------------------------------------------
 
 
-def _run_processed(spark, sf_dir):
+def _run_processed(spark, sf_dir, mode="complete", times=1):
     processed, dead = scratch_dir(spark, "processed"), scratch_dir(spark, "dead_letter")
-    counts = runs.run_processed(_trips(spark, sf_dir), processed, dead, "run-1", mode="strict")
+    for _ in range(times):
+        counts = runs.run_processed(_trips(spark, sf_dir), processed, dead, "run-1", mode=mode)
     return processed, dead, counts
 
 
-@query("run_processed")
-def _processed_rows(spark, sf_dir):
-    processed, _, _ = _run_processed(spark, sf_dir)
+def _processed_rows(spark, sf_dir, mode="complete", times=1):
+    processed, _, _ = _run_processed(spark, sf_dir, mode, times)
     return z.read_zone(spark, processed).select(
         "trip_ref", "trip_duration_minutes", "tip_percentage", "etl_job_name", "year", "month"
     )
 
 
-@query("run_processed_dead_letters")
-def _dead_letter_rows(spark, sf_dir):
-    _, dead, _ = _run_processed(spark, sf_dir)
-    return spark.read.parquet(dead).select("trip_ref", "failure_reason", "run_id")
-
+for _suffix, _mode in (("", "complete"), ("_strict", "strict")):
+    query(f"run_processed{_suffix}")(lambda spark, d, m=_mode: _processed_rows(spark, d, m))
+    query(f"run_processed_dead_letters{_suffix}")(
+        lambda spark, d, m=_mode: spark.read.parquet(_run_processed(spark, d, m)[1]).select("trip_ref", "failure_reason", "run_id")
+    )
+    query(f"run_processed_summary{_suffix}")(lambda spark, d, m=_mode: runs.report(lambda: _run_processed(spark, d, m)[2], spark))
 
-@query("run_processed_summary")
-def _run_summary(spark, sf_dir):
-    return runs.report(lambda: _run_processed(spark, sf_dir)[2], spark)
+query("run_processed_twice")(lambda spark, d: _processed_rows(spark, d, times=2))
+query("run_processed_report")(lambda spark, d: runs.processed_report(spark, _run_processed(spark, d)[0], "run-1")[0])
+query("run_processed_months")(lambda spark, d: runs.processed_report(spark, _run_processed(spark, d)[0], "run-1")[1])
 
 
 def _run_curated(spark, sf_dir):
@@ -183,12 +192,18 @@ def _curated_payment(spark, sf_dir):
     return spark.read.parquet(_run_curated(spark, sf_dir)["payment_analysis"])
 
 
-@query("run_star")
-def _run_star(spark, sf_dir):
-    """Loadable trips into the star schema, then the stored hourly question's input counts."""
+def _star_root(spark, sf_dir):
+    """Two disjoint loads and the second one again, which adds nothing."""
     root = scratch_dir(spark, "star")
-    runs.run_star(_processed(spark, sf_dir), root)
-    return table_counts(runs.current_star(spark, root))
+    processed = _processed(spark, sf_dir)
+    for vendor in (1, 2, 2):
+        runs.run_star(processed.where(f"VendorID = {vendor}"), root)
+    return root
+
+
+query("run_star")(lambda spark, d: table_counts(runs.current_star(spark, _star_root(spark, d))))
+for _q in ("rds_top_pickups", "rds_hourly", "rds_weekend"):
+    query(f"run_star_{_q}")(lambda spark, d, q_=_q: runs.star_questions(spark, _star_root(spark, d))[q_])
 
 
 @query("run_week1")
@@ -249,9 +264,20 @@ def _windowed_stream(spark, sf_dir):
     return _closed(spark, windowed_counts(_event_stream(spark, sf_dir), "5 minutes"), "windows")
 
 
+@query("windowed_counts_stream_all")
+def _windowed_all(spark, sf_dir):
+    """Closed windows of the stream and what it has not reported: open windows and late events."""
+    closed = _windowed_stream(spark, sf_dir)
+    return with_open_windows(closed, given.table(spark, sf_dir, "events"), "5 minutes")
+
+
 @query("dedup_executions_stream")
 def _dedup_stream(spark, sf_dir):
-    files = _event_stream(spark, sf_dir).selectExpr(
-        *[f"{text} AS {name}" for name, text in given.FILE_EVENT_EXPRESSIONS.items()]
-    )
-    return _closed(spark, dedup_executions(files), "executions")
+    """Every notification arrives again in a second batch."""
+    source = scratch_dir(spark, "notifications")
+    events = given.table(spark, sf_dir, "events")
+    for _ in range(2):
+        events.coalesce(1).write.mode("append").parquet(source)
+    stream = ingest.new_files(spark, source, events.schema, files_per_batch=1)
+    files = stream.selectExpr(*[f"{text} AS {name}" for name, text in given.FILE_EVENT_EXPRESSIONS.items()])
+    return _closed(spark, dedup_executions(files, watermark="1000 days"), "executions")

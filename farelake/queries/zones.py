@@ -86,12 +86,8 @@ for _name, _rules in _SINGLE.items():
     _on(_derived, _name, _tagged(_rules, "complete"))
     _on(_derived, f"{_name}_strict", _tagged(_rules, "strict"))
 
-for _mode in ("strict", "complete"):
-    _on(
-        _trips,
-        "etl_classify" if _mode == "strict" else "etl_classify_complete",
-        lambda t, m=_mode: q.etl_outcome(t, mode=m).select("trip_ref", "outcome"),
-    )
+for _name, _mode in (("etl_classify", "complete"), ("etl_classify_complete", "complete"), ("etl_classify_strict", "strict")):
+    _on(_trips, _name, lambda t, m=_mode: q.etl_outcome(t, mode=m).select("trip_ref", "outcome"))
 
 _on(_derived, "quality_metrics", lambda d: q.quality_metrics(q.tag(d)))
 _on(_derived, "dq_summary", lambda d: q.dq_summary(q.tag(d)))

@@ -16,12 +16,14 @@ QUERIES: dict[str, Query] = {}
 
 
 def tidy(df: DataFrame) -> DataFrame:
-    """Common result types: whole numbers as bigint, fractions as doubles rounded to 4 digits."""
+    """Common result types: whole numbers as bigint, fractions as doubles rounded to 4 digits; NUMERIC(10,2) stays."""
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType)):
             c = c.cast("long")
+        elif f.dataType == T.DecimalType(10, 2):
+            pass
         elif isinstance(f.dataType, (T.FloatType, T.DoubleType, T.DecimalType)):
             c = F.rint((c.cast("double") + 1e-9) * 1e4) / 1e4
         elif isinstance(f.dataType, T.TimestampType):

@@ -32,6 +32,8 @@ def read_zone(
 ) -> DataFrame:
     """A zone partitioned by year and month; the two values prune folders, the columns the scan."""
     df = spark.read.parquet(path)
+    if "run_id" in df.columns and not (columns and "run_id" in columns):
+        df = df.drop("run_id")  # folder of the run that wrote the rows
     if year is not None:
         df = df.where(F.col("year") == year)
     if month is not None:
@@ -64,9 +66,17 @@ def by_month(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", "year", "month")
 
 
-def write_processed(df: DataFrame, path: str, clustered: bool = False) -> None:
-    """Append to the processed zone; ``clustered`` input (files of one month) is not moved again."""
-    (df if clustered else by_month(df)).write.mode("append").partitionBy("year", "month").parquet(path)
+def write_processed(df: DataFrame, path: str, clustered: bool = False, run_id: str | None = None) -> None:
+    """Append to the processed zone; ``clustered`` input (files of one month) is not moved again.
+
+    With ``run_id`` the rows go under ``run_id=…`` and replace those of an earlier attempt of the same run. A zone is
+    written either with run ids or without.
+    """
+    writer = (df if clustered else by_month(df)).write.partitionBy("year", "month")
+    if run_id is None:
+        writer.mode("append").parquet(path)
+    else:
+        writer.mode("overwrite").parquet(f"{path}/run_id={run_id}")
 
 
 def write_curated(
@@ -122,9 +132,17 @@ def materialize(view: DataFrame, name: str, path: str | None = None) -> None:
 
 
 def discover_schema(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """Register the files under ``path`` as a table: merged schema, all partitions, nothing dropped."""
-    if not spark.catalog.tableExists(table):
-        merged = spark.read.option("mergeSchema", True).parquet(path)
+    """Register the files under ``path`` as a table: merged schema, all partitions, nothing dropped.
+
+    On a table that exists, columns of later files are added; types and columns it has stay as they are.
+    """
+    merged = spark.read.option("mergeSchema", True).parquet(path)
+    if spark.catalog.tableExists(table):
+        known = {c.lower() for c in spark.table(table).columns}
+        added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in merged.schema if f.name.lower() not in known)
+        if added:
+            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({added})")
+    else:
         keys = [c for c in EXPECTED_PARTITIONS if c in merged.columns]
         body = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in merged.schema)
         clause = f"PARTITIONED BY ({', '.join(keys)})" if keys else ""

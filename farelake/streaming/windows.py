@@ -15,3 +15,17 @@ def windowed_counts(
         timed = timed.withWatermark("_ts", lateness)
     grouped = timed.groupBy(F.window("_ts", period).alias("w")).agg(F.count(F.lit(1)).alias("n"))
     return grouped.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "n")
+
+
+def with_open_windows(closed: DataFrame, events: DataFrame, period: str = "5 minutes", ts: str = "ts") -> DataFrame:
+    """Every window of a finished stream: n events, of these ``late`` ones that it left out, and its state.
+
+    ``closed`` holds the windows that the stream has reported. A window it has not reported is ``open``; all its events
+    are still to come out, none of them is late. Closed and open windows together cover every event.
+    """
+    every = windowed_counts(events, period, ts)
+    told = closed.select(F.col("window_start").alias("w"), F.col("n").alias("told"))
+    joined = every.join(told, F.col("window_start") == F.col("w"), "left")
+    late = F.when(F.col("told").isNull(), F.lit(0)).otherwise(F.col("n") - F.col("told"))
+    state = F.when(F.col("told").isNull(), "open").otherwise("closed")
+    return joined.select("window_start", "n", late.cast("long").alias("late"), state.alias("state"))

@@ -63,7 +63,7 @@ PROCESSED = (
 def out(body: str, spec: str, with_: str = "") -> str:
     """Final select: ``spec`` lists columns as ``kind:name``.
 
-    i integer, d double rounded to 4 digits, any other column is passed through.
+    i integer, m NUMERIC(10,2), d double rounded to 4 digits, any other column is passed through.
     """
     cols = []
     for word in spec.split():
@@ -72,6 +72,8 @@ def out(body: str, spec: str, with_: str = "") -> str:
             cols.append(kind)
         elif kind == "i":
             cols.append(f"CAST({name} AS BIGINT) AS {name}")
+        elif kind == "m":
+            cols.append(f"CAST({name} AS DECIMAL(10,2)) AS {name}")
         else:
             cols.append(f"round(CAST({name} AS DOUBLE)+1e-9, 4) AS {name}")
     head = f"WITH {with_} " if with_ else ""

@@ -1,5 +1,7 @@
 """Checks of profiles, samples, log questions, metric alarms and file events."""
 
+import re
+
 from .common import FILE_EVENTS, LOGS, METRICS, TRIPS, out
 from .zones import COLS
 
@@ -56,10 +58,10 @@ STRATIFIED = (
 )
 VALID = " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", (SELECT avg({c}) FROM trips) AS original_mean, (SELECT avg({c}) FROM s) AS sample_mean"
-    for c in NUMERIC[:10]
+    for c in NUMERIC
 )
-HANDLERS = "log_group LIKE '%/lambda/%'"
-JOBS = "log_group LIKE '%glue/%'"
+HANDLERS = "log_group LIKE '/lambda/%'"
+JOBS = "log_group LIKE '/glue/%'"
 EVERY = f"({HANDLERS} OR {JOBS})"
 
 
@@ -126,14 +128,14 @@ ORACLES = {
         " d:fare_total d:passengers_mean i:passengers_mode",
         TRIPS,
     ),
-    "duplicate_rows": out(
+    "duplicate_rows_columns": out(
         f"SELECT n AS row_count, n - u AS duplicates, {pct('(n - u)', 'n')} AS duplicate_pct FROM (SELECT"
         " (SELECT count(*) FROM trips) AS n, (SELECT count(*) FROM (SELECT DISTINCT VendorID, PULocationID,"
         " DOLocationID, payment_type, tolls_amount FROM trips)) AS u)",
         "i:row_count i:duplicates d:duplicate_pct",
         TRIPS,
     ),
-    "duplicate_rows_whole": out(
+    "duplicate_rows": out(
         "SELECT n AS row_count, n - u AS duplicates, round((n - u) * 100.0 / n + 1e-9, 2) AS duplicate_pct FROM"
         " (SELECT (SELECT count(*) FROM trips) AS n, (SELECT count(*) FROM (SELECT DISTINCT * FROM trips)) AS u)",
         "i:row_count i:duplicates d:duplicate_pct",
@@ -205,7 +207,7 @@ ORACLES = {
     ),
     "log_upload_tracking": out(
         f"""SELECT {HOUR} AS bin, sum({field(SIZE_MB)}::DOUBLE) AS total_mb, count(*) AS file_count
-        FROM logs WHERE log_group LIKE '%/lambda/s3-notification-handler' AND {has('S3_FILE_UPLOADED')} GROUP BY 1""",
+        FROM logs WHERE log_group = '/lambda/s3-notification-handler' AND {has('S3_FILE_UPLOADED')} GROUP BY 1""",
         "bin d:total_mb i:file_count",
         LOGS,
     ),
@@ -217,7 +219,7 @@ ORACLES = {
     ),
     "log_executions": out(
         f"SELECT {field('(ExecutionStarted|ExecutionSucceeded|ExecutionFailed)')} AS execution_status, {HOUR} AS bin,"
-        " count(*) AS count FROM logs WHERE log_group LIKE '%/states/%' AND"
+        " count(*) AS count FROM logs WHERE log_group LIKE '/states/%' AND"
         f" {has('ExecutionStarted|ExecutionSucceeded|ExecutionFailed')} GROUP BY 1, 2",
         "execution_status bin i:count",
         LOGS,
@@ -270,7 +272,8 @@ ORACLES = {
     "dedup_executions": out(
         "SELECT DISTINCT 'etl-' || strftime(event_time, '%Y%m%d-%H%M%S') || '-' ||"
         " replace(regexp_extract(key, '[^/]*$'), '.', '-')[:50] AS execution_name, bucket, key, event_time"
-        f" FROM file_events WHERE ({REASON}) IS NULL",
+        " FROM (FROM file_events UNION ALL SELECT * REPLACE (replace(key, 'raw/taxi/', 'raw/taxi/other/') AS key)"
+        f" FROM file_events) WHERE ({REASON}) IS NULL",
         "execution_name bucket key event_time",
         FILE_EVENTS,
     ),
@@ -281,3 +284,5 @@ ORACLES = {
         f"SELECT {HOUR} AS window_start, count(*) AS n FROM events GROUP BY 1", "window_start i:n"
     ),
 }
+for _name in ("log_failed_records", "log_error_patterns", "log_errors_detailed", "log_job_failures"):
+    ORACLES[f"{_name}_all"] = re.sub(r" (ORDER BY [^()]*)?LIMIT \d+\)$", ")", ORACLES[_name])

@@ -15,7 +15,8 @@ def _values(rows) -> str:
 
 
 def money(e: str) -> str:
-    return f"floor((({e})+sign({e})*1e-9)*100+0.5)/100"
+    """NUMERIC(10,2): rounded half up on the shortest decimal text of the double."""
+    return f"CAST(round(CAST(CAST({e} AS VARCHAR) AS DECIMAL(38,18)), 2) AS DECIMAL(10,2))"
 
 
 SEED = f"seed(location_id, borough, zone, service_zone) AS (VALUES {_values(LOCATIONS)})"
@@ -132,14 +133,14 @@ ORACLES = {
     "build_dim_time": out("FROM dim_time", TIME_COLS, TRIPS + ", " + TIME),
     "build_dim_time_incremental": out("FROM dim_time", TIME_COLS, TRIPS + ", " + TIME),
     "fact_lookup": out(
-        f"SELECT trip_ref, epoch_us({P}) AS time_id FROM trips WHERE {P} IN (SELECT {P} FROM trips WHERE VendorID = 1)",
+        f"SELECT trip_ref, epoch_us({P}) AS time_id FROM trips WHERE {P} IS NOT NULL",
         "trip_ref i:time_id",
         TRIPS,
     ),
     "build_fact_trips": out(
         "FROM fact",
-        "trip_id i:time_id i:pickup_location_id i:dropoff_location_id i:rate_code_id i:passenger_count d:trip_distance"
-        " d:trip_duration " + " ".join(f"d:{c}" for c in MONEY1) + " i:payment_type",
+        "trip_id i:time_id i:pickup_location_id i:dropoff_location_id i:rate_code_id i:passenger_count m:trip_distance"
+        " m:trip_duration " + " ".join(f"m:{c}" for c in MONEY1) + " i:payment_type",
         T1,
     ),
     "build_dim_date": out(
@@ -151,7 +152,7 @@ ORACLES = {
         "FROM fact",
         "trip_key i:pickup_date_key i:pickup_time_key i:dropoff_date_key i:dropoff_time_key i:pickup_location_key"
         " i:dropoff_location_key i:payment_type_key i:rate_code_key i:vendor_id i:passenger_count "
-        + " ".join(f"d:{c}" for c in MONEY2) + " quality_flag",
+        + " ".join(f"m:{c}" for c in MONEY2) + " quality_flag",
         T2,
     ),
     "load_summary": out(
@@ -182,8 +183,8 @@ ORACLES = {
     "trip_summary": out(
         "FROM summary",
         "trip_id pickup_datetime i:year i:month i:day i:hour i:weekday is_weekend pickup_borough pickup_zone"
-        " dropoff_borough dropoff_zone rate_code_name i:passenger_count d:trip_distance d:trip_duration d:fare_amount"
-        " d:tip_amount d:total_amount i:payment_type",
+        " dropoff_borough dropoff_zone rate_code_name i:passenger_count m:trip_distance m:trip_duration m:fare_amount"
+        " m:tip_amount m:total_amount i:payment_type",
         ", ".join([T1, TIME, LOC, RATE, SUMMARY]),
     ),
     "constraint_check": out(
@@ -325,3 +326,4 @@ ORACLES = {
         CURATED,
     ),
 }
+ORACLES["write_fact_taxi_trips"] = ORACLES["build_fact_taxi_trips"]

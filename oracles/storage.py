@@ -5,6 +5,7 @@ from .common import ETL, PROCESSED, TRIPS, out
 from .monitoring import BIN5
 from .monitoring import ORACLES as MONITORING
 from .star import FACT1, LOC
+from .star import ORACLES as STAR
 from .zones import COLS, ORACLES as ZONES
 from .zones import classified
 
@@ -12,7 +13,8 @@ P, D = "tpep_pickup_datetime", "tpep_dropoff_datetime"
 PROC = TRIPS + ", " + PROCESSED
 EMIT = TRIPS + ", " + ETL
 MONTH = "year = 1998 AND month = 3"
-JUDGED = f"judged AS ({classified(True)})"
+JUDGED = f"judged AS ({classified(False)})"
+STRICT = f"judged AS ({classified(True)})"
 REJECTED = "outcome NOT IN ('ok', 'pre_filtered', 'lost')"
 DEAD = out(
     f"SELECT trip_ref, outcome AS failure_reason, 'run-1' AS run_id FROM judged WHERE {REJECTED}",
@@ -54,7 +56,10 @@ ORACLES = {
         TRIPS,
     ),
     "discover_schema": out(
-        "SELECT year, month, count(*) AS trips FROM processed GROUP BY 1, 2", "i:year i:month i:trips", PROC
+        "SELECT year, month, count(*) AS trips, count(CASE WHEN year >= 1998 THEN tip_amount END) AS with_tip"
+        " FROM processed GROUP BY 1, 2",
+        "i:year i:month i:trips i:with_tip",
+        PROC,
     ),
     "verify_schema": out(
         "SELECT 'columns' AS kind, 'expected 19' AS name, false AS found, 25 AS value UNION ALL"
@@ -111,5 +116,22 @@ ORACLES = {
         " window_start + INTERVAL 5 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE",
         "window_start i:n",
     ),
-    "dedup_executions_stream": MONITORING["dedup_executions"],
+    "windowed_counts_stream_all": out(
+        f"SELECT {BIN5} AS window_start, count(*) AS n, 0 AS late, CASE WHEN window_start + INTERVAL 5 MINUTE"
+        " <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE THEN 'closed' ELSE 'open' END AS state"
+        " FROM events GROUP BY 1",
+        "window_start i:n i:late state",
+    ),
+    "dedup_executions_stream": MONITORING["dedup_executions"].replace(
+        "(FROM file_events UNION ALL SELECT * REPLACE (replace(key, 'raw/taxi/', 'raw/taxi/other/') AS key) FROM file_events)",
+        "file_events",
+    ),
 }
+for _name in ("run_processed", "run_processed_dead_letters", "run_processed_summary"):
+    ORACLES[f"{_name}_strict"] = ORACLES[_name].replace(JUDGED, STRICT)
+ORACLES["run_processed_twice"] = ORACLES["run_processed"]
+ORACLES["run_processed_report"] = ZONES["quality_report"]
+ORACLES["run_processed_months"] = ZONES["records_by_month"]
+for _name in ("rds_top_pickups", "rds_hourly", "rds_weekend"):
+    ORACLES[f"run_star_{_name}"] = STAR[_name].replace(FACT1, PROCESSED + ", " + FACT1.replace("FROM trips WHERE", "FROM processed WHERE"))
+

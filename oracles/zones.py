@@ -260,7 +260,8 @@ ORACLES = {
         "table_name i:row_count",
         PROC,
     ),
-    "etl_classify": out(classified(True), "trip_ref outcome", EMIT),
+    "etl_classify": out(classified(False), "trip_ref outcome", EMIT),
+    "etl_classify_strict": out(classified(True), "trip_ref outcome", EMIT),
     "etl_classify_complete": out(classified(False), "trip_ref outcome", EMIT),
     "quality_metrics": out(
         " UNION ALL ".join(

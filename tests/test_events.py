@@ -38,6 +38,25 @@ def test_redelivered_file_starts_one_execution(spark):
     assert [r.execution_name for r in fe.dedup_executions(df).collect()] == ["etl-20240101-100005-x-csv-gz"]
 
 
+def test_different_files_with_one_label_are_all_processed(spark):
+    t = dt.datetime(2024, 1, 1, 10, 0, 5)
+    long = "raw/taxi/" + "n" * 60
+    keys = ["raw/taxi/2024/01/data.parquet", "raw/taxi/2024/02/data.parquet", long + "1.csv", long + "2.csv"]
+    rows = [("ObjectCreated:Put", "b", k, 1, t) for k in keys * 2]
+    df = spark.createDataFrame(rows, "event_name string, bucket string, key string, size long, event_time timestamp_ntz")
+    assert sorted(r.key for r in fe.dedup_executions(df).collect()) == sorted(keys)
+
+
+def test_log_questions_report_everything_by_default(spark):
+    start = dt.datetime(2024, 1, 1)
+    rows = [(start + dt.timedelta(hours=i), i, "/glue/jobs", "LOG", f"FAIL: code {i}") for i in range(300)]
+    logs = spark.createDataFrame(rows, "ts timestamp_ntz, event_id long, log_group string, type string, message string")
+    assert lg.log_hourly_activity(logs).count() == lg.log_failed_records(logs).count() == 300
+    assert lg.log_failed_records(logs, k=20).count() == 20 and lg.log_hourly_activity(logs, limit=7).count() == 7
+    assert lg.log_hourly_activity(logs, end=start + dt.timedelta(hours=100), last_hours=5).count() == 5
+    assert lg.log_query(logs.withColumn("log_group", lg.F.lit("my/lambda/x")), groups=lg.HANDLERS).count() == 0
+
+
 def metrics(spark, points):
     start = dt.datetime(2024, 1, 1)
     rows = [(start + dt.timedelta(minutes=m), "pipeline", name, 1, float(v)) for m, name, v in points]
@@ -79,7 +98,7 @@ def test_freshness(spark):
 def test_log_query_range_groups_and_limit(spark):
     t = dt.datetime(2024, 1, 1)
     rows = [(i, t + dt.timedelta(hours=i), g, "LOG", "ERROR: x", 1.0, 1.0, 128, 20)
-            for i, g in enumerate(["/aws/lambda/a", "/aws-glue/jobs", "/aws/vendedlogs/states/x", "/other"])]
+            for i, g in enumerate(["/lambda/a", "/glue/jobs", "/states/x", "/other"])]
     logs = spark.createDataFrame(rows, "event_id int, ts timestamp_ntz, log_group string, type string, message string,"
                                  " duration double, billed_duration double, memory_size long, max_memory_used long")
     assert lg.log_query(logs, groups=lg.EVERYTHING).count() == 2

