@@ -1,8 +1,8 @@
 """Exact-size samples that are the same in every run: rows with the smallest md5 of key and seed.
 
-The first digits of the md5 split the rows into 65,536 even buckets. Counting the buckets
-tells which of them are taken whole and in which one the sample ends, so no task sorts the
-table and the rows never meet in one place.
+The first digits of the md5 split the rows into even buckets. Counting the buckets, and the
+buckets of the one in which the sample ends once more, gives the hash at which it ends, so no
+task sorts the table and the rows never meet in one place.
 """
 
 from __future__ import annotations
@@ -27,36 +27,42 @@ def _digits(rows: int, strata: int) -> int:
     return min(PREFIX, max(1, round(math.log(max(rows / max(strata, 1) / 1000, 1), 16))))
 
 
+def _cut(rows: DataFrame, quota: DataFrame, strata: list[str], bucket: Column) -> DataFrame:
+    """Per stratum the last bucket that is needed, and how many of its rows: columns ``_b`` and ``_want``."""
+    counts = rows.groupBy(*strata, bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_in"))
+    running = Window.partitionBy(*strata).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    upto = counts.withColumn("_before", F.sum("_in").over(running) - F.col("_in"))
+    limits = upto.join(quota, strata) if strata else upto.withColumn("_quota", quota.scalar())
+    last = F.max(F.struct("_b", (F.col("_quota") - F.col("_before")).alias("_want"))).alias("_last")
+    return limits.where(F.col("_before") < F.col("_quota")).groupBy(*strata).agg(last).select(*strata, "_last.*")
+
+
 def _take_smallest(
     df: DataFrame, quota: DataFrame, strata: list[str], few: bool = True, digits: int | None = None
 ) -> DataFrame:
     """The ``_quota`` rows with the smallest ``_h`` of each stratum.
 
     ``quota`` has one row per stratum (columns ``strata`` and ``_quota``); NULL strata have none.
-    ``few`` says that the strata have been counted and are few enough to broadcast.
+    ``few`` says that the strata have been counted and are few enough to broadcast. The bucket in which a stratum's
+    sample ends is split again by the next four digits, so the hash at which the sample ends is looked for among a
+    65,536th of it, however large the stratum. Those passes read key columns only; the last one filters whole rows by
+    that hash, without a window.
     """
-    bucket = F.substring("_h", 1, digits or PREFIX)
-    counts = df.groupBy(*strata, bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_in"))
-    running = Window.partitionBy(*strata).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    upto = counts.withColumn("_before", F.sum("_in").over(running) - F.col("_in"))
-    limits = upto.join(quota, strata) if strata else upto.withColumn("_quota", quota.scalar())
-    # Last bucket that is needed, and how many of its rows; the buckets before it are taken whole.
-    last = F.max(F.struct("_b", (F.col("_quota") - F.col("_before")).alias("_want")))
-    needed = limits.where(F.col("_before") < F.col("_quota"))
-    marked = df.withColumn("_b", bucket)
-    if strata:
-        cut = needed.groupBy(*strata).agg(last.alias("_cut"))
-        marked = marked.join(F.broadcast(cut) if few else cut, strata)
-    else:
-        marked = marked.withColumn("_cut", needed.agg(last).scalar())
-    # Only rows that can be in the sample go through the shuffle of the window.
-    order = Window.partitionBy(*strata, "_b").orderBy("_h")
-    return (
-        marked.where(F.col("_b") <= F.col("_cut._b"))
-        .withColumn("_rn", F.row_number().over(order))
-        .where((F.col("_b") < F.col("_cut._b")) | (F.col("_rn") <= F.col("_cut._want")))
-        .drop("_b", "_cut", "_rn")
-    )
+    d = digits or PREFIX
+    hashes = df.select(*strata, "_h")
+    near = lambda small: F.broadcast(small) if few else small
+    by = strata or ["_all"]
+    if not strata:
+        df, hashes = df.withColumn("_all", F.lit(1)), hashes.withColumn("_all", F.lit(1))
+        quota = quota.withColumn("_all", F.lit(1))
+    first = _cut(hashes, quota, by, F.substring("_h", 1, d)).select(*by, F.col("_b").alias("_b1"), F.col("_want").alias("_quota"))
+    inside = hashes.join(near(first), by).where(F.substring("_h", 1, d) == F.col("_b1"))
+    second = _cut(inside.drop("_quota"), first.drop("_b1"), by, F.substring("_h", d + 1, 4))
+    ends = inside.drop("_quota").join(near(second), by).where(F.substring("_h", d + 1, 4) == F.col("_b"))
+    ranked = ends.withColumn("_rn", F.row_number().over(Window.partitionBy(*by).orderBy("_h")))
+    end = ranked.where(F.col("_rn") <= F.col("_want")).groupBy(*by).agg(F.max("_h").alias("_end"))
+    taken = df.join(near(end), by).where(F.col("_h") <= F.col("_end")).drop("_end")
+    return taken if strata else taken.drop("_all")
 
 
 def sample_random(

@@ -206,34 +206,43 @@ def constraint_check(
 ) -> DataFrame:
     """Violations per declared constraint: value checks, missing keys, foreign keys, uniqueness.
 
-    Foreign keys are checked on key counts, not on fact rows.
+    One scan of the facts for the values and one for the foreign keys, which are checked on counts per key of all four
+    references together: a hot key costs one row per task.
     """
     checked = ("passenger_count", "trip_distance", "trip_duration", "fare_amount", "total_amount")
-    keys = ("time_id", "pickup_location_id", "dropoff_location_id", "rate_code_id")
-    counts = fact.agg(
+    references = {
+        "time_id": (dim_time, "time_id"),
+        "pickup_location_id": (dim_location, "location_id"),
+        "dropoff_location_id": (dim_location, "location_id"),
+        "rate_code_id": (dim_rate, "rate_code_id"),
+    }
+
+    def rows(one_row: DataFrame) -> DataFrame:
+        pairs = [F.struct(F.lit(n).alias("constraint"), F.col(n).alias("violations")) for n in one_row.columns]
+        return one_row.select(F.inline(F.array(*pairs)))
+
+    values = fact.agg(
         *[F.count_if(F.col(c) < 0).alias(f"chk_{c}") for c in checked],
-        *[F.count_if(F.col(c).isNull()).alias(f"not_null_{c}") for c in keys],
+        *[F.count_if(F.col(c).isNull()).alias(f"not_null_{c}") for c in references],
     )
-    names = counts.columns
-    pairs = F.array(*[F.struct(F.lit(n).alias("constraint"), F.col(n).alias("violations")) for n in names])
-    out = counts.select(F.inline(pairs))
 
-    def one(name: str, frame: DataFrame, violations: Column) -> DataFrame:
-        return frame.agg(F.coalesce(violations, F.lit(0)).alias("violations")).select(
-            F.lit(name).alias("constraint"), "violations"
-        )
-
-    for key, dim, dim_key in (
-        ("time_id", dim_time, "time_id"),
-        ("pickup_location_id", dim_location, "location_id"),
-        ("dropoff_location_id", dim_location, "location_id"),
-        ("rate_code_id", dim_rate, "rate_code_id"),
-    ):
-        used = fact.dropna(subset=[key]).groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("n"))
-        orphans = used.join(dim.select(F.col(dim_key).alias("_key")), "_key", "left_anti")
-        out = out.unionByName(one(f"fk_{key}", orphans, F.sum("n")))
-    repeated = dim_time.groupBy("pickup_datetime").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return out.unionByName(one("unique_pickup_datetime", repeated, F.sum(F.col("n") - 1)))
+    def keys(frame: DataFrame, names: dict[str, str]) -> DataFrame:
+        """(reference, key) of every row, one per entry of ``names``."""
+        items = [F.struct(F.lit(n).alias("reference"), F.col(c).cast("long").alias("key")) for n, c in names.items()]
+        return frame.select(F.inline(F.array(*items))).where("key IS NOT NULL")
+
+    used = keys(fact, {n: n for n in references}).groupBy("reference", "key").agg(F.count(F.lit(1)).alias("n"))
+    known = [
+        keys(dim, {n: c for n, (d, c) in references.items() if d is dim}) for dim in (dim_time, dim_location, dim_rate)
+    ]
+    known = known[0].unionByName(known[1]).unionByName(known[2])
+    orphans = used.join(known, ["reference", "key"], "left_anti").agg(
+        *[F.coalesce(F.sum(F.when(F.col("reference") == n, F.col("n"))), F.lit(0)).alias(f"fk_{n}") for n in references]
+    )
+    repeated = dim_time.groupBy("pickup_datetime").agg(F.count(F.lit(1)).alias("n")).where("n > 1").agg(
+        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("unique_pickup_datetime")
+    )
+    return rows(values).unionByName(rows(orphans)).unionByName(rows(repeated))
 
 
 # -- schema with calendar and clock dimensions ---------------------------------------

@@ -154,11 +154,9 @@ def v_payment_analysis(curated: DataFrame) -> DataFrame:
     ).orderBy(F.desc("total_transactions"), "payment_type")
 
 
-def _route_trips(curated: DataFrame) -> DataFrame:
-    return curated.where(
+def _route_condition() -> Column:
+    return (
         _moving_forward()
-        & F.col("pickup_location_id").isNotNull()
-        & F.col("dropoff_location_id").isNotNull()
         & (F.col("trip_distance") > 0)
         & (F.col("trip_distance") < 100)
         & (F.col("total_amount") > 0)
@@ -166,23 +164,30 @@ def _route_trips(curated: DataFrame) -> DataFrame:
     )
 
 
-def _volume_thresholds(curated: DataFrame) -> Column:
-    """Struct (p90, p50) of the trip counts of all routes, without the view's filters.
+def _route_trips(curated: DataFrame) -> DataFrame:
+    return curated.dropna(subset=ROUTE).where(_route_condition())
 
-    Distinct counts c satisfy sum(c) <= trips, so the buffer of ``percentile`` holds at most
-    sqrt(2 * trips) values.
+
+def _route_totals(curated: DataFrame) -> Column:
+    """Struct (trips of the routes in the view, p90 and p50 of the trip counts of all routes), one narrow scan.
+
+    The thresholds leave out the view's filters. Distinct counts c satisfy sum(c) <= trips, so the buffer of
+    ``percentile`` holds at most sqrt(2 * trips) values.
     """
-    return (
-        curated.dropna(subset=ROUTE)
-        .groupBy(*ROUTE)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.percentile("n", F.array(F.lit(0.9), F.lit(0.5))).alias("p"))
-        .scalar()
+    inside = F.coalesce(_route_condition(), F.lit(False))
+    counts = curated.dropna(subset=ROUTE).groupBy(*ROUTE).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(inside).alias("inside")
     )
+    total = F.sum(F.when(F.col("inside") >= 10, F.col("inside"))).alias("total")
+    volume = F.percentile("n", F.array(F.lit(0.9), F.lit(0.5))).alias("p")
+    return counts.agg(F.struct(total, volume)).scalar()
 
 
 def location_performance(curated: DataFrame) -> DataFrame:
-    """``v_location_performance`` without the median fare, which the route queries do not read."""
+    """``v_location_performance`` without the median fare, which the route queries do not read.
+
+    Two scans of the trips: the measures, and the totals of all routes as one scalar subquery.
+    """
     routes = (
         _route_trips(curated)
         .groupBy(*ROUTE)
@@ -200,21 +205,12 @@ def location_performance(curated: DataFrame) -> DataFrame:
         )
         .where(F.col("trip_count") >= 10)
     )
-    # The total is a scalar subquery over the surviving routes: no single-task window.
-    total = (
-        _route_trips(curated)
-        .groupBy(*ROUTE)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= 10)
-        .agg(F.sum("n"))
-        .scalar()
-    )
-    p = _volume_thresholds(curated)
+    totals = _route_totals(curated)
     return routes.withColumns(
         {
-            "percentage_of_total": fn.round_stable(F.col("trip_count") * 100.0 / total, 4),
-            "volume_category": F.when(F.col("trip_count") >= p[0], "High Volume")
-            .when(F.col("trip_count") >= p[1], "Medium Volume")
+            "percentage_of_total": fn.round_stable(F.col("trip_count") * 100.0 / totals["total"], 4),
+            "volume_category": F.when(F.col("trip_count") >= totals["p"][0], "High Volume")
+            .when(F.col("trip_count") >= totals["p"][1], "Medium Volume")
             .otherwise("Low Volume"),
         }
     )

@@ -171,3 +171,17 @@ def test_infinite_values_have_a_rank(spark):
     df = spark.createDataFrame(rows, "k string, v double")
     got = {r.k: (r.lo, r.mid, r.hi) for r in exact_percentiles(df, ["k"], "v", {"lo": 0.0, "mid": 0.5, "hi": 1.0}).collect()}
     assert got == {"a": (1.0, inf, inf), "b": (-inf, 1.0, 3.0)}
+
+
+def test_sample_of_a_stratum_with_nearly_all_rows(spark):
+    import hashlib
+
+    from farelake.operators.sampling import sample_random, sample_stratified
+
+    rows = [(f"k{i}", 1 if i % 100 else 2) for i in range(5000)]
+    df = spark.createDataFrame(rows, "trip_ref string, payment_type int")
+    smallest = sorted((k for k, _ in rows), key=lambda k: hashlib.md5(f"{k}-42".encode()).hexdigest())
+    assert {r.trip_ref for r in sample_random(df, 300).collect()} == set(smallest[:300])
+    got = sample_stratified(df, 500).collect()
+    hot = [k for k in smallest if dict(rows)[k] == 1]
+    assert len(got) == 500 and {r.trip_ref for r in got if r.payment_type == 1} == set(hot[:495])
