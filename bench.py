@@ -13,7 +13,7 @@ from farelake.session import local_session  # noqa: E402
 
 HEADLINE = (
     # zone ETL and quality
-    "raw_to_processed run_all_checks etl_classify run_processed dataset_gate"
+    "raw_to_processed run_all_checks etl_classify run_processed dataset_gate catalog_month_agg"
     # curated datasets
     " daily_statistics hourly_patterns payment_analysis_daily location_top100"
     # views and analysis

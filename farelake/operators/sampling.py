@@ -50,19 +50,22 @@ def _take_smallest(
     """
     d = digits or PREFIX
     hashes = df.select(*strata, "_h")
-    near = lambda small: F.broadcast(small) if few else small
-    by = strata or ["_all"]
-    if not strata:
-        df, hashes = df.withColumn("_all", F.lit(1)), hashes.withColumn("_all", F.lit(1))
-        quota = quota.withColumn("_all", F.lit(1))
-    first = _cut(hashes, quota, by, F.substring("_h", 1, d)).select(*by, F.col("_b").alias("_b1"), F.col("_want").alias("_quota"))
-    inside = hashes.join(near(first), by).where(F.substring("_h", 1, d) == F.col("_b1"))
-    second = _cut(inside.drop("_quota"), first.drop("_b1"), by, F.substring("_h", d + 1, 4))
-    ends = inside.drop("_quota").join(near(second), by).where(F.substring("_h", d + 1, 4) == F.col("_b"))
-    ranked = ends.withColumn("_rn", F.row_number().over(Window.partitionBy(*by).orderBy("_h")))
-    end = ranked.where(F.col("_rn") <= F.col("_want")).groupBy(*by).agg(F.max("_h").alias("_end"))
-    taken = df.join(near(end), by).where(F.col("_h") <= F.col("_end")).drop("_end")
-    return taken if strata else taken.drop("_all")
+
+    def attach(rows: DataFrame, small: DataFrame, **names: str) -> DataFrame:
+        """Columns of ``small`` (one row per stratum) as given names; without strata it is one row, a scalar."""
+        if strata:
+            some = small.select(*strata, *[F.col(c).alias(n) for n, c in names.items()])
+            return rows.join(F.broadcast(some) if few else some, strata)
+        one = small.agg(F.first(F.struct(*[F.col(c).alias(n) for n, c in names.items()]))).scalar()
+        return rows.withColumn("_one", one).select("*", "_one.*").drop("_one")
+
+    first = _cut(hashes, quota, strata, F.substring("_h", 1, d))
+    inside = attach(hashes, first, _b1="_b").where(F.substring("_h", 1, d) == F.col("_b1")).drop("_b1")
+    second = _cut(inside, first.select(*strata, F.col("_want").alias("_quota")), strata, F.substring("_h", d + 1, 4))
+    ends = attach(inside, second, _b2="_b", _want="_want").where(F.substring("_h", d + 1, 4) == F.col("_b2"))
+    ranked = ends.withColumn("_rn", F.row_number().over(Window.partitionBy(*strata).orderBy("_h")))
+    end = ranked.where(F.col("_rn") <= F.col("_want")).groupBy(*strata).agg(F.max("_h").alias("_last"))
+    return attach(df, end, _end="_last").where(F.col("_h") <= F.col("_end")).drop("_end")
 
 
 def sample_random(

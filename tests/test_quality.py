@@ -9,9 +9,9 @@ from farelake.operators import quality as q
 from farelake.sources import given_tables as given
 
 CLEAN = [
-    (0, 15, 2, 2.5, 12.5, 2.0, 15.5, 0.5, 0.5, 0.5),
-    (1, 20, 1, 5.0, 25.0, 5.0, 31.0, 1.0, 0.5, 0.5),
-    (2, 10, 3, 1.5, 8.5, 1.5, 10.5, 0.0, 0.5, 0.5),
+    (3, 42, 4, 11.7, 38.4, 7.2, 46.6, 0.0, 0.5, 0.5),
+    (7, 9, 1, 1.3, 7.9, 0.0, 9.4, 1.0, 0.0, 0.5),
+    (11, 27, 6, 4.4, 18.6, 3.1, 22.7, 0.0, 0.5, 0.5),
 ]
 
 
@@ -26,7 +26,7 @@ def test_clean_rows_pass_every_check(dq):
 
 
 def test_nulls(dq, spark):
-    df = dq(CLEAN[0], (1, 20, None, 5.0, 25.0, 5.0, 31.0, 1.0, 0.5, 0.5), (2, 10, 3, None, 8.5, 1.5, 10.5, 0.0, 0.5, 0.5))
+    df = dq(CLEAN[0], (7, 9, None, *CLEAN[1][3:]), (11, 27, 6, None, *CLEAN[2][4:]))
     no_pickup = dq(CLEAN[1]).withColumn("tpep_pickup_datetime", F.lit(None).cast("timestamp_ntz"))
     whole = df.unionByName(no_pickup)
     assert sizes(q.check_null_values(whole)) == (1, 3)
@@ -36,7 +36,7 @@ def test_nulls(dq, spark):
 
 def test_ranges(dq):
     rows = [list(CLEAN[0]) for _ in range(4)]
-    rows[1][2], rows[2][3], rows[3][4] = 10, 150.0, 600.0
+    rows[1][2], rows[2][3], rows[3][4] = 9, 101.5, 777.0
     valid, invalid = q.validate_numeric_ranges(dq(*map(tuple, rows)))
     assert (valid.count(), invalid.count()) == (1, 3)
     assert {r.failure_reason for r in invalid.collect()} == {"numeric_range_violation"}
@@ -45,16 +45,16 @@ def test_ranges(dq):
 
 def test_datetime_order(dq):
     rest = CLEAN[0][2:]
-    valid, invalid = q.validate_datetime_logic(dq((0, 15, *rest), (1, -30, *rest), (2, 0, *rest)))
+    valid, invalid = q.validate_datetime_logic(dq((0, 42, *rest), (1, -7, *rest), (2, 0, *rest)))
     assert (valid.count(), invalid.count()) == (1, 2)
     assert invalid.first().failure_reason == "invalid_datetime_sequence"
 
 
 def test_duration_and_tip(dq):
     rest = CLEAN[0][2:]
-    derived = c.derive_etl(dq((0, 0.5, *rest), (1, 360, *rest), (2, 15, *rest)))
+    derived = c.derive_etl(dq((0, 0.25, *rest), (1, 301, *rest), (2, 44, *rest)))
     assert sizes(q.validate_trip_duration(derived)) == (1, 2)
-    tips = c.derive_etl(dq((0, 15, 1, 2.0, 10.0, 15.0, 25.0, 0.0, 0.0, 0.0), (1, 15, 1, 2.0, 25.0, 5.0, 30.0, 0.0, 0.0, 0.0)))
+    tips = c.derive_etl(dq((0, 15, 1, 2.0, 8.0, 9.0, 17.0, 0.0, 0.0, 0.0), (1, 15, 1, 2.0, 16.0, 4.0, 20.0, 0.0, 0.0, 0.0)))
     assert sizes(q.validate_tip_percentage(tips)) == (1, 1)
 
 
