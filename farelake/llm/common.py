@@ -63,6 +63,16 @@ def map_batches(df: DataFrame, schema: str, work: Callable[[dict[str, list]], di
     return df.mapInArrow(run, schema)
 
 
+def bounded_sample(df: DataFrame, rows: int, key: str) -> DataFrame:
+    """At most ``rows`` rows, the first by a hash of ``key``: the same in every run.
+
+    A filter on the hash comes first, with room for twice as many rows, so no task sends its own ``rows`` rows.
+    """
+    share = min(1.0, 2.0 * rows / max(df.count(), 1))
+    spread = F.pmod(F.xxhash64(key), F.lit(1 << 30))
+    return df.where(spread < F.lit(int(share * (1 << 30)))).orderBy(F.xxhash64(key), key).limit(rows)
+
+
 def total_bytes(df: DataFrame, column: str) -> int:
     """Bytes of one text column over the whole table; one narrow aggregate."""
     return int(df.agg(F.sum(F.octet_length(column))).first()[0] or 0)

@@ -23,7 +23,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
 from ..session import scratch_dir
-from .common import stored
+from .common import bounded_sample, stored
 
 DICTIONARY_FRAME = 0x184D2A5D  # fixed value: skippable frame of a dictionary in front of an archive
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"  # fixed value
@@ -112,25 +112,28 @@ def mark_revisits(pages: DataFrame) -> DataFrame:
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"),
     ).withColumn("digest", F.sha1(F.col("html").cast("binary")))
-    largest = rows.select("page_id", "digest").groupBy("digest").agg(F.max("page_id").alias("last_id"))
+    # written, so that both sides of the join are plain shuffles, which Spark splits where a payload is common
+    largest = stored(rows.select("page_id", "digest").groupBy("digest").agg(F.max("page_id").alias("last_id")), "payloads")
     revisit = F.col("last_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("last_id"))
     return rows.join(largest, "digest").select(
         "page_id", "url", "html", revisit.alias("revisit"), F.when(revisit, F.col("last_id")).alias("refers_to")
     )
 
 
-def build_dictionary(marked: DataFrame, date: str, records: int = 512, record_bytes_used: int = 16 << 10, size: int = 64 << 10) -> bytes:
-    """Dictionary from at most ``records`` records (first by a hash of the id), ``record_bytes_used`` bytes of each.
+def build_dictionary(pages: DataFrame, date: str, records: int = 512, record_bytes_used: int = 16 << 10, size: int = 64 << 10) -> bytes:
+    """Dictionary from records of at most ``records`` pages (first by a hash of the id), ``record_bytes_used`` bytes of each.
 
     The sample is bounded and only shapes the dictionary. Too few or too short records give no dictionary.
     """
     import zstandard
 
-    picked = marked.where("NOT revisit").select("page_id", "url", F.expr(f"substring(html, 1, {record_bytes_used})").alias("html"))
-    picked = picked.orderBy(F.xxhash64("page_id"), "page_id", "url").limit(records).collect()
-    samples = [record_bytes(r.page_id, r.url, r.html, None, False, date)[:record_bytes_used] for r in picked]
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
+    rows = rows.withColumn("html", F.substring("html", 1, record_bytes_used))
+    picked = {r.html: r for r in bounded_sample(rows, records, "page_id").collect()}  # equal payloads once
+    samples = [record_bytes(r.page_id, r.url, r.html, None, False, date)[:record_bytes_used] for r in picked.values()]
+    held = sum(map(len, samples))
     try:
-        return zstandard.train_dictionary(size, samples, k=1024, d=8).as_bytes() if len(samples) >= 8 else b""
+        return zstandard.train_dictionary(min(size, max(1024, held // 8)), samples, k=min(1024, max(64, held // 64)), d=8).as_bytes() if len(samples) >= 8 else b""
     except zstandard.ZstdError:
         return b""
 
@@ -144,7 +147,7 @@ def write_archives(
     ``archive_bytes``. An empty table gives no file. ``date`` goes to every record: pages carry no time of capture.
     """
     marked = mark_revisits(pages)
-    dictionary = build_dictionary(marked, date)
+    dictionary = build_dictionary(pages, date)
     schema = to_arrow_schema(_parse_datatype_string("path string, records long, bytes long"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,7 +172,7 @@ def write_archives(
                     out = None
                 if out is None:
                     name, n = f"{uuid.uuid4().hex}.warc.zst", 0
-                    out = files.open_output_stream(f"{top}/{name}")
+                    out = files.open_output_stream(f"{top}/{name}", compression=None)
                     if dictionary:
                         out.write(struct.pack("<II", DICTIONARY_FRAME, len(dictionary)) + dictionary)
                     about = b"software: farelake\r\nformat: WARC File Format 1.1\r\n"
@@ -200,7 +203,7 @@ def read_archives(files: DataFrame, payloads: bool = True, chunk: int = 1 << 20)
             for path in batch.column(0).to_pylist():
                 folder, _, name = path.rpartition("/")
                 files_, top = open_folder(folder)
-                with files_.open_input_stream(f"{top}/{name}") as stream:
+                with files_.open_input_stream(f"{top}/{name}", compression=None) as stream:
                     rows, held = [], 0
                     for record in frames(stream, chunk):
                         if (row := parse_record(record)) is not None:
