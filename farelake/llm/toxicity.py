@@ -3,8 +3,8 @@
 Method: patterns (words, and word beginnings of 3 to 6 letters, which follow inflected insults) that go with the toxic
 label are mined from labelled rows and dealt to voters; two voters look at style (shouting, strings of exclamation
 marks). Every document's votes form a bit mask. A generative label model, fitted by expectation maximisation to the
-mask counts of all documents, estimates how often each voter fires in either class and which voters fire together
-beyond the class; voters that do share one vote. Its posteriors label a sample, on which a linear classifier over the
+mask counts of all documents and anchored by the labelled rows, estimates how often each voter fires in either class and
+which voters fire together beyond the class; voters that do share one vote. Its posteriors label a sample, on which a linear classifier over the
 patterns is trained; the classifier scores all documents.
 
 What reaches the driver is bounded: at most ``sample`` labelled rows (default 20,000), at most 4,096 patterns, and one
@@ -15,15 +15,16 @@ from __future__ import annotations
 
 import math
 import re
+import string
 from collections import Counter
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, remainder, stored
+from .common import bounded_sample, map_batches, remainder, stored
 
-STRIP = ".,;:!?\"'()[]{}«»¿¡…-*"  # fixed value: what is cut from the ends of a word
+STRIP = string.punctuation + string.digits + "«»¿¡…–—“”‘’"  # fixed value: what is cut from the ends of a word
 BEGINNINGS = (3, 4, 5, 6)
 MOST_PATTERNS = 4096
 WORD_VOTERS = 4  # voters that share the word patterns; each beginning length has two of its own
@@ -38,8 +39,11 @@ def patterns_of(word: str) -> list[str]:
     return ["=" + word, *("^" + word[:k] for k in BEGINNINGS if len(word) >= k)] if word else []
 
 
-def mine_patterns(docs: DataFrame, labels: dict[int, int]) -> list[tuple[str, int, int]]:
-    """Patterns with their toxic and other document counts over the labelled rows, strongest first."""
+def mine_patterns(docs: DataFrame, labels: dict[int, int], precision: float = 0.9) -> list[tuple[str, int, int]]:
+    """Patterns with their toxic and other document counts over the labelled rows, strongest first.
+
+    A pattern must go with the toxic label beyond chance and at least in ``precision`` of its documents.
+    """
 
     def count(rows):
         toxic, other = Counter(), Counter()
@@ -57,7 +61,7 @@ def mine_patterns(docs: DataFrame, labels: dict[int, int]) -> list[tuple[str, in
     n = F.col("toxic") + F.col("other")
     share = F.col("toxic") / n
     gain = F.col("toxic") * F.log(share / rate) + F.when(F.col("other") > 0, F.col("other") * F.log((1 - share) / (1 - rate))).otherwise(0.0)
-    best = found.where((F.col("toxic") >= 3) & (share >= max(0.6, 2 * rate)) & (gain >= EVIDENCE))
+    best = found.where((F.col("toxic") >= 3) & (share >= precision) & (gain >= EVIDENCE))
     rows = best.orderBy(gain.desc(), "pattern").limit(MOST_PATTERNS).collect()
     return [(r.pattern, r.toxic, r.other) for r in rows]
 
@@ -102,37 +106,60 @@ class Voters:
 
 
 class LabelModel:
-    """Generative model of votes: class prior, firing rates per class, groups of voters that fire together."""
+    """Generative model of votes: class prior, firing rates per class, groups of voters that fire together.
 
-    def __init__(self, masks: np.ndarray, counts: np.ndarray, rate: float, rounds: int = 50):
-        votes = (masks[:, None] >> np.arange(VOTERS)) & 1
-        n = counts.astype(float)
-        self.prior = min(max(rate, 1e-4), 0.5)
-        toxic = np.where(votes[:, : VOTERS - 2].any(1), 0.9, 0.01)  # start: any pattern voter is mostly right
-        self.share = np.ones(VOTERS)
+    A voter that does not fire abstains, which says nothing; a document that no pattern voter fires on has a vote of its
+    own kind ("none"). The prior is the labelled share; labelled rows keep their label in every round.
+    """
+
+    def __init__(self, masks: np.ndarray, counts: np.ndarray, labelled: dict[tuple[int, int], int], rounds: int = 25):
+        votes, n = self._votes(masks), counts.astype(float)
+        sure = np.array([k for k in labelled], int).reshape(-1, 2)
+        sure_votes, sure_toxic, sure_n = self._votes(sure[:, 0]), sure[:, 1].astype(float), np.array([*labelled.values()], float)
+        positive = float((sure_n * sure_toxic).sum())
+        self.prior = min(max(positive / max(sure_n.sum(), 1), 1e-4), 0.5)
+        every, weight = np.r_[votes, sure_votes], np.r_[n, sure_n]
+        toxic = np.where(votes[:, :-3].any(1), 0.9, 0.01)  # start: a pattern voter is mostly right
+        self.group = np.arange(votes.shape[1])
         for step in range(rounds):
-            self.fires = np.stack([(votes * (n * c)[:, None]).sum(0) + 0.01 for c in (1 - toxic, toxic)])
-            self.fires /= np.array([(n * (1 - toxic)).sum() + 1, (n * toxic).sum() + 1])[:, None]
+            given = np.r_[toxic, sure_toxic]
+            self.fires = np.stack([(every * (weight * c)[:, None]).sum(0) + 0.01 for c in (1 - given, given)])
+            self.fires /= np.array([(weight * c).sum() + 1 for c in (1 - given, given)])[:, None]
             self.fires = np.clip(self.fires, 1e-6, 1 - 1e-6)
-            self.prior = float(np.clip((n * toxic).sum() / max(n.sum(), 1), 1e-5, 0.5))
             if step == 1:
-                self.share = 1 / self._together(votes, n, toxic)
+                self.group = self._together(every, weight, given)
             toxic = self._posterior(votes)
         self.known = dict(zip(masks.tolist(), toxic.tolist()))
 
+    @staticmethod
+    def _votes(masks: np.ndarray) -> np.ndarray:
+        votes = (masks[:, None] >> np.arange(VOTERS)) & 1
+        return np.c_[votes, ~votes[:, : VOTERS - 2].any(1)].astype(float)
+
     def _together(self, votes: np.ndarray, n: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-        """For each voter, how many voters fire with it beyond what the class explains (itself included)."""
+        """Group number of each voter: voters that fire together among toxic documents, beyond the class, share one."""
         w = n * toxic
         mean = (votes * w[:, None]).sum(0) / max(w.sum(), 1e-9)
         off = votes - mean
         cov = (off * w[:, None]).T @ off / max(w.sum(), 1e-9)
         sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
         self.correlation = cov / sd[:, None] / sd
-        return np.maximum((np.clip(self.correlation, 0, 1) > 0.5).sum(1), 1)
+        group = np.arange(len(mean))
+        for i, j in zip(*np.nonzero(np.triu(self.correlation > 0.5, 1))):
+            group[group == group[j]] = group[i]
+        return group
+
+    @property
+    def accuracy(self) -> np.ndarray:
+        """Of each voter, the share of its votes that fall on toxic documents."""
+        hit = self.fires[1] * self.prior
+        return hit / (hit + self.fires[0] * (1 - self.prior))
 
     def _posterior(self, votes: np.ndarray) -> np.ndarray:
-        fired, silent = np.log(self.fires[1] / self.fires[0]), np.log((1 - self.fires[1]) / (1 - self.fires[0]))
-        odds = (np.where(votes, fired, silent) * self.share).sum(1) + math.log(self.prior / (1 - self.prior))
+        evidence, odds = votes * np.log(self.fires[1] / self.fires[0]), math.log(self.prior / (1 - self.prior))
+        for g in np.unique(self.group):  # one vote per group: the mean of its voters that fire
+            of = self.group == g
+            odds = odds + evidence[:, of].sum(1) / np.maximum(votes[:, of].sum(1), 1)
         return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
     def posterior(self, mask: int) -> float:
@@ -170,33 +197,36 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, sample: int = 20_000) ->
     ``labels`` (doc_id, toxic) must hold learning rows only. A document labelled twice is toxic if either label is.
     """
     labelled = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    picked = labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()
+    picked = bounded_sample(labelled, sample, "doc_id").collect()
     known = {r.doc_id: int(r.toxic) for r in picked}
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     voters = Voters([p for p, _, _ in mine_patterns(texts, known)])
 
     def vote(rows):
-        counts, made = Counter(), {"mask": [], "n": [], "found": []}
+        counts, made = Counter(), {"mask": [], "n": [], "label": [], "found": []}
         for doc_id, text in zip(rows["doc_id"], rows["text"]):
             numbers = voters.found(text or "")
             mask = voters.mask(text or "", numbers)
             counts[mask] += 1
             if doc_id in known:
                 made["mask"].append(mask), made["n"].append(0), made["found"].append(numbers)
+                made["label"].append(int(known[doc_id] > 0))
         made["mask"] += counts.keys()
         made["n"] += counts.values()
+        made["label"] += [None] * len(counts)
         made["found"] += [None] * len(counts)
         return made
 
-    votes = stored(map_batches(texts, "mask int, n long, found array<int>", vote), "votes")
+    votes = stored(map_batches(texts, "mask int, n long, label int, found array<int>", vote), "votes")
     masks = votes.where("n > 0").groupBy("mask").agg(F.sum("n").alias("n")).orderBy("mask").collect()
-    rate = sum(known.values()) / max(len(known), 1)
     if not masks:
         return ToxicityModel(voters, np.zeros(len(voters.number)), -3.0, None)
-    model = LabelModel(np.array([r.mask for r in masks]), np.array([r.n for r in masks]), rate)
-    chosen = votes.where("found IS NOT NULL").select("mask", "found").orderBy("mask", "found").collect()
-    target = np.array([model.posterior(r.mask) for r in chosen])
-    weights, bias = train_linear([r.found for r in chosen], target, len(voters.number))
+    # repeated rows of a labelled id are few; the rows are bounded by the sample and its repeats
+    chosen = sorted((r.mask, r.label, r.found) for r in votes.where("found IS NOT NULL").limit(2 * sample).collect())
+    labelled = Counter((mask, label) for mask, label, _ in chosen)
+    model = LabelModel(np.array([r.mask for r in masks]), np.array([r.n for r in masks]), labelled)
+    target = np.array([model.posterior(mask) for mask, _, _ in chosen])
+    weights, bias = train_linear([found for _, _, found in chosen], target, len(voters.number))
     return ToxicityModel(voters, weights, bias, model)
 
 
