@@ -127,11 +127,13 @@ def repeats(keyed: DataFrame, window: int = 50, seed: int = SEED_WORDS) -> DataF
 
     schema = "anchor long, span_a long, span_b long, start int, length int, rank long, text_key long"
     found = stored(_emit(keyed, schema, ["text", "rank", "text_key"], anchors), "anchors")
+    # aggregates are written before they are joined: Spark splits a hot key only between plain shuffles
     shared = found.groupBy("anchor").agg(
         F.min("rank").alias("r0"), F.max("rank").alias("r1"), (F.min("span_a") != F.max("span_a")).alias("differ")
     ).where("r0 < r1")
-    seeds = stored(found.join(shared.select("anchor", "differ"), "anchor").drop("anchor"), "seeds")
-    whole = seeds.groupBy("span_a", "span_b", "length").agg(F.min("rank").alias("first"))
+    shared = stored(shared.select("anchor", "differ"), "shared_anchors")
+    seeds = stored(found.join(shared, "anchor").drop("anchor"), "seeds")
+    whole = stored(seeds.groupBy("span_a", "span_b", "length").agg(F.min("rank").alias("first")), "spans")
     judged = stored(
         seeds.join(whole, ["span_a", "span_b", "length"]).select(
             "rank", "text_key", "start", "length", (F.col("first") < F.col("rank")).alias("repeat"), "differ"
@@ -154,6 +156,7 @@ def repeats(keyed: DataFrame, window: int = 50, seed: int = SEED_WORDS) -> DataF
         "windows",
     )
     earliest = single.groupBy("win_a", "win_b").agg(F.min("rank").alias("first"), F.max("rank").alias("last")).where("first < last")
+    earliest = stored(earliest.drop("last"), "first_windows")
     late = single.join(earliest, ["win_a", "win_b"]).where("first < rank")
     covers = judged.where("repeat").select("rank", "text_key", "start", "length").unionByName(
         late.select("rank", "text_key", "start", F.lit(window).alias("length"))
