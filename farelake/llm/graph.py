@@ -11,9 +11,10 @@ from .common import stored
 def _toward_smallest(pairs: DataFrame, larger_only: bool) -> DataFrame:
     """Link each neighbour of ``u`` (the larger ones only, or all) to the smallest of ``u`` and its neighbours.
 
-    Minima are partial aggregates; a node with very many links is split by the join.
+    Minima are partial aggregates, written before the join so that it can split a node with very many links.
     """
     least = pairs.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("u", "m").alias("m"))
+    least = stored(least, "least")
     joined = pairs.join(least, pairs["u"] == least["w"])
     if larger_only:
         return joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))

@@ -279,7 +279,8 @@ def near_duplicates(docs: DataFrame, radius: int = 3, parts: int = 4, words_per_
     rooted = classes.join(roots, classes["fp"] == roots["node"], "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
-    smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    # written, so that the join below can split a large component
+    smallest = stored(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "components")
     of_class = rooted.join(smallest, "root").select("fp", "component_id")
     return prints.join(of_class, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
