@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, stored
+from .common import bounded_sample, map_batches, stored
 from .quality_rules import measure_text
 
 
@@ -66,7 +66,7 @@ def domain_posteriors(docs: DataFrame, labels: DataFrame, domain: str, sample: i
     larger label. Without labels there is one domain, which all documents belong to.
     """
     picked = labels.where(f"doc_id IS NOT NULL AND `{domain}` IS NOT NULL").groupBy("doc_id").agg(F.max(domain).alias("d"))
-    known = {r.doc_id: r.d for r in picked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()}
+    known = {r.doc_id: r.d for r in bounded_sample(picked, sample, "doc_id").collect()}
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("text_key", F.xxhash64("text"))
     columns = {"doc_id": "long", "text_key": "long", "tokens": "long", "style": "array<double>"}
@@ -108,17 +108,16 @@ def fit_rates(posteriors: DataFrame, targets: np.ndarray, most_rounds: int = 30,
     """Steps of the projected gradient until the expected totals are within ``close`` of the targets."""
     k = len(targets)
     of = [F.col("posterior")[i] * F.col("tokens") for i in range(k)]
-    sums = posteriors.agg(*[F.coalesce(F.sum(of[i] * F.col("posterior")[j]), F.lit(0.0)) for i in range(k) for j in range(k)]).first()
-    gram = np.array(sums, float).reshape(k, k)
-    whiten = np.linalg.pinv(gram, rcond=1e-9)
     steps: list[np.ndarray] = []
     for _ in range(most_rounds):
-        rate = rate_column(steps)
-        total = np.array(posteriors.agg(*[F.coalesce(F.sum(rate * x), F.lit(0.0)) for x in of]).first(), float)
-        miss = total - targets
+        at = posteriors.withColumn("_rate", rate_column(steps))
+        gram = [F.when(F.col("_rate") > 0, of[i] * F.col("posterior")[j]) for i in range(k) for j in range(k)]
+        sums = at.agg(*[F.coalesce(F.sum(x), F.lit(0.0)) for x in [*[F.col("_rate") * x for x in of], *gram]]).first()
+        miss = np.array(sums[:k], float) - targets
         if np.abs(miss).sum() <= close * max(np.abs(targets).sum(), 1):
             break
-        steps.append(whiten @ miss)
+        # whitened by the documents that still have a rate, which are the ones that can move either way
+        steps.append(np.linalg.pinv(np.array(sums[k:], float).reshape(k, k), rcond=1e-9) @ miss)
     return steps
 
 
