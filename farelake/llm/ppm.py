@@ -30,9 +30,10 @@ from .common import remainder, stored, total_bytes
 
 ORDER = 5
 SHARED = 2  # longest contexts that every task gets
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
 END = ""  # the end token among words: no word is empty
 _CHUNK = 2 << 20
+_PENDING = 4_000_000  # counts that wait to be added up
 
 
 class Level:
@@ -71,8 +72,13 @@ def shorten(nodes: np.ndarray, by: int) -> np.ndarray:
 
 
 def merge_counts(nodes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    kinds, at = np.unique(nodes, return_inverse=True)
-    return kinds, np.bincount(at, counts, len(kinds)).astype(np.int64)
+    """Sum of the counts of equal nodes, by node."""
+    if not len(nodes):
+        return nodes, counts
+    at = np.argsort(nodes)
+    nodes = nodes[at]
+    first = np.flatnonzero(np.r_[True, nodes[1:] != nodes[:-1]])
+    return nodes[first], np.add.reduceat(counts[at], first)
 
 
 def build_levels(nodes: np.ndarray, counts: np.ndarray, order: int, shared: list[Level] | None = None) -> list[Level]:
@@ -105,6 +111,38 @@ def log_probabilities(nodes: np.ndarray, levels: list[Level]) -> np.ndarray:
     return out
 
 
+class NodeTable:
+    """Values by node in an open hash table: a lookup is a few vectorised reads."""
+
+    def __init__(self, nodes: np.ndarray, values: np.ndarray):
+        self.bits = max(4, int(2 * len(nodes)).bit_length())
+        self.keys = np.full(1 << self.bits, np.iinfo(np.uint64).max, np.uint64)  # no node has all bits set
+        self.values = np.zeros(1 << self.bits, np.float32)
+        place, owner = self._place(nodes), np.full(1 << self.bits, -1, np.int32)
+        left = np.arange(len(nodes), dtype=np.int32)
+        while len(left):
+            free = owner[place[left]] < 0
+            owner[place[left[free]]] = left[free]
+            left = left[owner[place[left]] != left]
+            place[left] = (place[left] + 1) & ((1 << self.bits) - 1)
+        self.keys[place], self.values[place] = nodes, values
+
+    def _place(self, nodes: np.ndarray) -> np.ndarray:
+        return ((nodes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def __getitem__(self, nodes: np.ndarray) -> np.ndarray:
+        """Values of nodes that are all in the table."""
+        place = self._place(nodes)
+        out = self.values[place]
+        left = np.flatnonzero(self.keys[place] != nodes)
+        while len(left):
+            place[left] = (place[left] + 1) & ((1 << self.bits) - 1)
+            hit = self.keys[place[left]] == nodes[left]
+            out[left[hit]] = self.values[place[left[hit]]]
+            left = left[~hit]
+        return out
+
+
 def normalise(text: str | None) -> bytes:
     return b" ".join((text or "").encode().lower().split())
 
@@ -174,7 +212,7 @@ def count_blocks(packed: DataFrame, order: int) -> DataFrame:
     """One row per block: its distinct nodes and words, each with its count in learning texts."""
 
     def count(table: pa.Table) -> pa.Table:
-        nodes, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        nodes, counts, waiting = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
         learned, other = Counter(), set()
         for _, learns, lines in _unpack(table):
             for line, flag in zip(lines, learns):
@@ -184,7 +222,13 @@ def count_blocks(packed: DataFrame, order: int) -> DataFrame:
                 node, sizes = text_nodes(lines[a:b], order)
                 weight = np.repeat(np.array(learns[a:b], np.uint64), sizes)
                 kinds, n = np.unique(node << np.uint64(1) | weight, return_counts=True)
-                nodes, counts = merge_counts(np.r_[nodes, kinds >> np.uint64(1)], np.r_[counts, n * (kinds & np.uint64(1)).astype(np.int64)])
+                nodes.append(kinds >> np.uint64(1))
+                counts.append(n * (kinds & np.uint64(1)).astype(np.int64))
+                waiting += len(kinds)
+                if waiting > _PENDING:
+                    merged = merge_counts(np.concatenate(nodes), np.concatenate(counts))
+                    nodes, counts, waiting = [merged[0]], [merged[1]], 0
+        nodes, counts = merge_counts(np.concatenate(nodes), np.concatenate(counts))
         words = sorted(learned.keys() | other)
         return pa.table({
             "block": pa.array(table["block"][:1].to_pylist(), pa.int32()),
@@ -246,28 +290,32 @@ def score_documents(docs: DataFrame, order: int = ORDER, block_bytes: int = BLOC
         )
     )
 
+    unseen = float(np.log10(tokens + kinds + 1))
+
     def score(bodies: pa.Table, answer: pa.Table) -> pa.Table:
-        is_word = answer["word"].is_valid()
-        own = answer.filter(is_word)
-        counts = dict(zip(own["word"].to_pylist(), own["value"].to_pylist()))
-        own = answer.filter(answer["node"].is_valid())
-        keys, values = own["node"].to_numpy().astype(np.uint64), own["value"].to_numpy()
-        at = np.argsort(keys)
-        keys, values = keys[at], values[at]
+        own = answer.select(["word", "value"]).filter(answer["word"].is_valid())
+        shares = {}  # log10(c + 1) of each known word
+        for part in own.to_batches(max_chunksize=50_000):
+            shares.update(zip(part.column(0).to_pylist(), np.log10(part.column(1).to_numpy() + 1).tolist()))
+        own = answer.select(["node", "value"]).filter(answer["node"].is_valid())
+        del answer
+        table = NodeTable(own["node"].to_numpy().astype(np.uint64), own["value"].to_numpy())
+        del own
+        pa.default_memory_pool().release_unused()
         made: dict[str, list] = {n: [] for n in ("doc_id", "learns", "n_tokens", "n_known", "train_tokens", "base_score", "score")}
         for ids, learns, lines in _unpack(bodies):
             made["doc_id"] += ids
             made["learns"] += learns
             for line in lines:
-                c = np.array([counts.get(w, 0.0) for w in (*line.decode().split(" "), END)] if line else [counts.get(END, 0.0)])
-                made["n_tokens"].append(len(c))
-                made["n_known"].append(int((c > 0).sum()))
+                words = [*line.decode().split(" "), END] if line else [END]
+                parts = [shares.get(w, 0.0) for w in words]
+                made["n_tokens"].append(len(words))
+                made["n_known"].append(len(words) - parts.count(0.0))  # a known word has log10 2 or more
                 made["train_tokens"].append(tokens)
-                made["base_score"].append(float(np.log10((c + 1) / (tokens + kinds + 1)).sum()))
+                made["base_score"].append(sum(parts) - len(words) * unseen)
             for a, b in _chunks(lines):
                 node, sizes = text_nodes(lines[a:b], order)
-                p = values[np.searchsorted(keys, node)]
-                made["score"] += np.add.reduceat(p, np.cumsum(sizes) - sizes).tolist()
+                made["score"] += np.add.reduceat(table[node].astype(np.float64), np.cumsum(sizes) - sizes).tolist()
         kinds_of = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
         return pa.table({n: pa.array(v, t) for (n, v), t in zip(made.items(), kinds_of)})
 
