@@ -15,7 +15,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_batches
+from .common import map_batches, stored
 
 SYMBOLS = "#*$%&|<>"  # fixed value
 BLANKS = " \t\n\v\f\r"  # fixed value: what separates words
@@ -23,10 +23,10 @@ SUB_BITS = 5  # 2^5 bins per power of two
 
 #: Measures with a fence: name, per-document value, least distance of the fence from the median.
 MEASURES = (
-    ("word_length", "1000 * word_chars div n_words", 2000),
-    ("symbol_share", "1000000 * n_symbols div n_words", 100_000),
+    ("word_length", "1000 * word_chars div greatest(n_words, 1)", 2000),
+    ("symbol_share", "1000000 * n_symbols div greatest(n_words, 1)", 100_000),
     ("dup_line_share", "1000000 * n_dup_lines div greatest(n_lines, 1)", 300_000),
-    ("repeat_share", "1000000 * n_repeat_words div n_words", 200_000),
+    ("repeat_share", "1000000 * n_repeat_words div greatest(n_words, 1)", 200_000),
 )
 
 
@@ -121,11 +121,11 @@ def thresholds(sketches: DataFrame, least_docs: int = 100, reach: int = 4) -> Da
     part = lambda level: wide.where(F.col("level") == level)
     own = part(2).select(F.col("l").alias("lang"), F.col("s").alias("source"), fences.alias("f2"))
     tongue = part(1).select(F.col("l").alias("l1"), fences.alias("f1"))
-    every = part(0).select(fences.alias("f0"), F.lit(1).alias("one"))
+    every = part(0).agg(F.first(fences)).scalar()
     enough = lambda f: F.when(F.col(f"{f}.docs") >= least_docs, F.col(f))
     return (
         own.join(tongue, own["lang"].eqNullSafe(tongue["l1"]), "left")
-        .withColumn("one", F.lit(1)).join(every, "one", "left")
+        .withColumn("f0", every)
         .select("lang", "source", F.coalesce(enough("f2"), enough("f1"), F.col("f0")).alias("f")).select("lang", "source", "f.*")
     )
 
@@ -138,8 +138,8 @@ def adaptive_quality(docs: DataFrame, least_docs: int = 100, reach: int = 4) ->
     sources are groups of their own; NULL or empty texts fail the base rules; repeated rows are judged alike; a group
     without any document that passes the base rules has no fence and nothing to keep. An empty table gives no rows.
     """
-    measured = measure(docs)
-    fences = thresholds(quantile_sketches(measured), least_docs, reach).withColumnsRenamed({"lang": "g_lang", "source": "g_source"})
+    measured = stored(measure(docs), "measures")  # texts are read once; sketches and verdict need the measures only
+    fences = thresholds(stored(quantile_sketches(measured), "sketches"), least_docs, reach).withColumnsRenamed({"lang": "g_lang", "source": "g_source"})
     joined = measured.join(
         fences, measured["lang"].eqNullSafe(fences["g_lang"]) & measured["source"].eqNullSafe(fences["g_source"]), "left"
     )
