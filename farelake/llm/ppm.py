@@ -33,7 +33,7 @@ SHARED = 2  # longest contexts that every task gets
 BLOCK_BYTES = 16 << 20
 END = ""  # the end token among words: no word is empty
 _CHUNK = 2 << 20
-_PENDING = 4_000_000  # counts that wait to be added up
+_PENDING = 1_000_000  # counts that wait to be added up
 
 
 class Level:
@@ -229,6 +229,7 @@ def count_blocks(packed: DataFrame, order: int) -> DataFrame:
                     merged = merge_counts(np.concatenate(nodes), np.concatenate(counts))
                     nodes, counts, waiting = [merged[0]], [merged[1]], 0
         nodes, counts = merge_counts(np.concatenate(nodes), np.concatenate(counts))
+        pa.default_memory_pool().release_unused()
         words = sorted(learned.keys() | other)
         return pa.table({
             "block": pa.array(table["block"][:1].to_pylist(), pa.int32()),
