@@ -7,8 +7,8 @@ mask counts of all documents and anchored by the labelled rows, estimates how of
 which voters fire together beyond the class; voters that do share one vote. Its posteriors label a sample, on which a linear classifier over the
 patterns is trained; the classifier scores all documents.
 
-What reaches the driver is bounded: at most ``sample`` labelled rows (default 20,000), at most 4,096 patterns, and one
-count per mask of 14 bits.
+What reaches the driver: the votes of at most ``sample`` labelled ids (default 20,000), equal ones as a count, at most
+4,096 patterns, and one count per mask of 14 bits.
 """
 
 from __future__ import annotations
@@ -166,15 +166,15 @@ class LabelModel:
         return self.known[mask]
 
 
-def train_linear(rows: list[list[int]], target: np.ndarray, width: int, rounds: int = 400, decay: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Logistic regression on 0/1 features and soft targets by full gradients (Adam); weights and bias."""
+def train_linear(rows: list[list[int]], target: np.ndarray, count: np.ndarray, width: int, rounds: int = 400, decay: float = 1e-4) -> tuple[np.ndarray, float]:
+    """Logistic regression on 0/1 features and soft targets by full gradients (Adam); rows count ``count`` times. Weights and bias."""
     at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     of = np.fromiter((i for r in rows for i in r), np.int64, len(at))
     w, b, step = np.zeros(width), -3.0, 0.1
     m1, m2 = np.zeros(width + 1), np.zeros(width + 1)
     for k in range(1, rounds + 1 if rows else 1):
         p = 1 / (1 + np.exp(-np.clip(b + np.bincount(at, w[of], len(rows)), -30, 30)))
-        miss = (p - target) / len(rows)
+        miss = count * (p - target) / count.sum()
         g = np.append(np.bincount(of, miss[at], width) + decay * w, miss.sum())
         m1, m2 = 0.9 * m1 + 0.1 * g, 0.999 * m2 + 0.001 * g * g
         move = step * (m1 / (1 - 0.9**k)) / (np.sqrt(m2 / (1 - 0.999**k)) + 1e-8)
@@ -192,41 +192,45 @@ class ToxicityModel:
 
 
 def learn_toxicity(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> ToxicityModel:
-    """Fit on at most ``sample`` labelled rows, chosen by a hash of the id, and on the votes of all documents.
+    """Fit on at most ``sample`` labelled ids, chosen by a hash of the id, and on the votes of all documents.
 
+    Of repeated labelled rows one counts; what an id with several texts sends to the driver is one count per kind of vote.
     ``labels`` (doc_id, toxic) must hold learning rows only. A document labelled twice is toxic if either label is.
     """
     labelled = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     picked = bounded_sample(labelled, sample, "doc_id").collect()
     known = {r.doc_id: int(r.toxic) for r in picked}
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    voters = Voters([p for p, _, _ in mine_patterns(texts, known)])
+    ids = docs.sparkSession.createDataFrame([(int(i),) for i in known], "doc_id long")
+    # each labelled text once, however often its row repeats
+    learned = stored(texts.join(F.broadcast(ids), "doc_id", "left_semi").distinct(), "labelled_texts")
+    voters = Voters([p for p, _, _ in mine_patterns(learned, known)])
 
     def vote(rows):
-        counts, made = Counter(), {"mask": [], "n": [], "label": [], "found": []}
-        for doc_id, text in zip(rows["doc_id"], rows["text"]):
-            numbers = voters.found(text or "")
-            mask = voters.mask(text or "", numbers)
-            counts[mask] += 1
-            if doc_id in known:
-                made["mask"].append(mask), made["n"].append(0), made["found"].append(numbers)
-                made["label"].append(int(known[doc_id] > 0))
-        made["mask"] += counts.keys()
-        made["n"] += counts.values()
-        made["label"] += [None] * len(counts)
-        made["found"] += [None] * len(counts)
-        return made
-
-    votes = stored(map_batches(texts, "mask int, n long, label int, found array<int>", vote), "votes")
-    masks = votes.where("n > 0").groupBy("mask").agg(F.sum("n").alias("n")).orderBy("mask").collect()
+        counts = Counter(voters.mask(t or "", voters.found(t or "")) for t in rows["text"])
+        return {"mask": [*counts], "n": [*counts.values()]}
+
+    def labelled_vote(rows):
+        found = [voters.found(t or "") for t in rows["text"]]
+        return {
+            "mask": [voters.mask(t or "", f) for t, f in zip(rows["text"], found)], "found": found,
+            "label": [int(known[i] > 0) for i in rows["doc_id"]],
+        }
+
+    votes = map_batches(texts.select("text"), "mask int, n long", vote)
+    masks = votes.groupBy("mask").agg(F.sum("n").alias("n")).orderBy("mask").collect()
     if not masks:
         return ToxicityModel(voters, np.zeros(len(voters.number)), -3.0, None)
-    # repeated rows of a labelled id are few; the rows are bounded by the sample and its repeats
-    chosen = sorted((r.mask, r.label, r.found) for r in votes.where("found IS NOT NULL").limit(2 * sample).collect())
-    labelled = Counter((mask, label) for mask, label, _ in chosen)
+    # different texts under one id meet in equal votes, which come with their count
+    chosen = map_batches(learned, "mask int, label int, found array<int>", labelled_vote)
+    chosen = sorted(map(tuple, chosen.groupBy("mask", "label", "found").agg(F.count("*")).collect()))
+    labelled = Counter()
+    for mask, label, _, n in chosen:
+        labelled[mask, label] += n
     model = LabelModel(np.array([r.mask for r in masks]), np.array([r.n for r in masks]), labelled)
-    target = np.array([model.posterior(mask) for mask, _, _ in chosen])
-    weights, bias = train_linear([found for _, _, found in chosen], target, len(voters.number))
+    target = np.array([model.posterior(mask) for mask, _, _, _ in chosen])
+    count = np.array([n for _, _, _, n in chosen], float)
+    weights, bias = train_linear([found for _, _, found, _ in chosen], target, count, len(voters.number))
     return ToxicityModel(voters, weights, bias, model)
 
 

@@ -5,7 +5,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from farelake.llm import common, near_copies
+from farelake.llm import common, near_copies, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -68,3 +68,17 @@ def test_near_copies_with_hot_shingles_match_brute_force(copies, rounds, monkeyp
     for i in sorted(got):
         first.setdefault(got[i], i)
     assert {i: first[r] for i, r in got.items()} == roots
+
+
+def test_toxicity_counts_a_repeated_row_once(spark):
+    rng = random.Random(6)
+    prose = lambda: " ".join(rng.choice("abcdefgh") + rng.choice("xyzuvw") + str(rng.randrange(99)) for _ in range(30))
+    rows = [(i, prose() + (" blockhead" if i % 5 == 0 else "")) for i in range(200)]
+    rows[5] = (5, "an ordinary tea kettle stands here blockhead")
+    marks = [(i, int(i % 5 == 0)) for i in range(200)]
+    spark = common.ready(spark)
+    labels, schema = spark.createDataFrame(marks, "doc_id long, toxic int"), "doc_id long, text string"
+    once = toxicity.learn_toxicity(spark.createDataFrame(rows, schema), labels, sample=250)
+    often = toxicity.learn_toxicity(spark.createDataFrame(rows + [rows[5]] * 600, schema), labels, sample=250)
+    assert "=blockhead" in once.voters.number and "=kettle" not in once.voters.number
+    assert often.voters.number == once.voters.number
