@@ -62,8 +62,8 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 def domain_posteriors(docs: DataFrame, labels: DataFrame, domain: str, sample: int = 20_000) -> tuple[DataFrame, list]:
     """(doc_id, text_key, tokens, posterior) of every document, and the domains in the order of the posterior.
 
-    Trained on at most ``sample`` labelled documents, chosen by a hash of the id. A document labelled twice takes the
-    larger label. Without labels there is one domain, which all documents belong to.
+    Trained on at most ``sample`` labelled ids, chosen by a hash of the id; of an id with several texts, on their mean
+    style. A document labelled twice takes the larger label. The domains are those of the label table. Without labels there is one domain, which all documents belong to.
     """
     picked = labels.where(f"doc_id IS NOT NULL AND `{domain}` IS NOT NULL").groupBy("doc_id").agg(F.max(domain).alias("d"))
     known = {r.doc_id: r.d for r in bounded_sample(picked, sample, "doc_id").collect()}
@@ -76,13 +76,12 @@ def domain_posteriors(docs: DataFrame, labels: DataFrame, domain: str, sample: i
 
     described = stored(map_batches(rows, ", ".join(f"{k} {v}" for k, v in columns.items()), describe), "styles")
 
-    def labelled(r):
-        at = [i for i, x in enumerate(r["doc_id"]) if x in known]
-        return {n: [r[n][i] for i in at] for n in ("doc_id", "style")}
-
-    train = map_batches(described.select("doc_id", "style"), "doc_id long, style array<double>", labelled)
-    train = train.orderBy("doc_id", "style").limit(2 * sample).collect()
-    domains = sorted({known[r.doc_id] for r in train}) or [None]
+    # one row per labelled id, whose different texts count alike however often a row repeats: no more rows than the sample
+    ids = docs.sparkSession.createDataFrame([(int(i),) for i in known], "doc_id long")
+    train = described.select("doc_id", "style").join(F.broadcast(ids), "doc_id", "left_semi").distinct()
+    train = train.groupBy("doc_id").agg(F.array(*[F.avg(F.col("style")[i]) for i in range(10)]).alias("style"))
+    train = train.orderBy("doc_id").collect()
+    domains = [r.d for r in picked.select("d").distinct().orderBy("d").collect()] or [None]
     at = {d: i for i, d in enumerate(domains)}
     model = DomainModel(np.array([r.style for r in train]), np.array([at[known[r.doc_id]] for r in train], int), len(domains))
 

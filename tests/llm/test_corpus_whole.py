@@ -5,7 +5,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from farelake.llm import common, near_copies, toxicity
+from farelake.llm import common, mixing, near_copies, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -82,3 +82,15 @@ def test_toxicity_counts_a_repeated_row_once(spark):
     often = toxicity.learn_toxicity(spark.createDataFrame(rows + [rows[5]] * 600, schema), labels, sample=250)
     assert "=blockhead" in once.voters.number and "=kettle" not in once.voters.number
     assert often.voters.number == once.voters.number
+
+
+def test_mixing_keeps_both_labels_beside_a_repeated_id(spark):
+    rng = random.Random(7)
+    good = lambda: " ".join(rng.choice(["tall", "green", "garden", "river", "stone"]) + str(rng.randrange(9)) for _ in range(60))
+    rows = [(0, "!!! ### 1 1 1 1")] * 100 + [(i, good() if i % 2 else "# $ % ! 7 7 7 7") for i in range(1, 41)]
+    spark = common.ready(spark)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(41)], "doc_id long, quality int")
+    got = mixing.mixing_rates(spark.createDataFrame(rows, "doc_id long, text string"), labels, relative={0: 0.5}, sample=41).collect()
+    assert len(got) == len(rows)
+    low, high = ([r.rate for r in got if r.doc_id % 2 == k] for k in (0, 1))
+    assert max(low) < 1 < min(high)
