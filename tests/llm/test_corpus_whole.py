@@ -94,3 +94,13 @@ def test_mixing_keeps_both_labels_beside_a_repeated_id(spark):
     assert len(got) == len(rows)
     low, high = ([r.rate for r in got if r.doc_id % 2 == k] for k in (0, 1))
     assert max(low) < 1 < min(high)
+
+
+def test_pipeline_keeps_different_texts_under_one_id(spark):
+    rng = random.Random(10)
+    prose = lambda: " ".join(rng.choice("abcdefgh") + str(rng.randrange(500)) for _ in range(40))
+    a, b, c = prose(), prose(), prose()
+    rows = [(1, a, "en", "s", 1), (1, b, "en", "s", 1), (1, b, "de", "s", 2), (2, a, "en", "s", 1), (3, c, "en", "s", 1), (3, b, "en", "s", 1), (None, a, "en", "s", 1)]
+    for order in (rows, rows[::-1]):
+        kept = corpus_pipeline.drop_near_duplicates(spark, common.ready(spark).createDataFrame(order, DOCS), None).collect()
+        assert sorted(((r.doc_id or 0), r.text) for r in kept) == sorted([(0, a), (1, a), (1, b), (3, c)])
