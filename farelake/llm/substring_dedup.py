@@ -141,7 +141,9 @@ def repeats(keyed: DataFrame, window: int = 50, seed: int = SEED_WORDS) -> DataF
         "judged",
     )
     # the first document of a window is also the first of that window's span, so the others need no comparison
-    open_ = judged.where("NOT repeat AND differ").groupBy("rank", "text_key").agg(
+    # repeated rows have equal spans: each counts once, so a list is bounded by its own text
+    once = ["rank", "text_key", "start", "length"]
+    open_ = judged.where("NOT repeat AND differ").select(*once).distinct().groupBy("rank", "text_key").agg(
         F.collect_list(F.struct("start", "length")).alias("open")
     )
 
@@ -158,9 +160,9 @@ def repeats(keyed: DataFrame, window: int = 50, seed: int = SEED_WORDS) -> DataF
     earliest = single.groupBy("win_a", "win_b").agg(F.min("rank").alias("first"), F.max("rank").alias("last")).where("first < last")
     earliest = stored(earliest.drop("last"), "first_windows")
     late = single.join(earliest, ["win_a", "win_b"]).where("first < rank")
-    covers = judged.where("repeat").select("rank", "text_key", "start", "length").unionByName(
+    covers = judged.where("repeat").select(*once).unionByName(
         late.select("rank", "text_key", "start", F.lit(window).alias("length"))
-    )
+    ).distinct()
     return covers.groupBy("rank", "text_key").agg(F.collect_list(F.struct("start", "length")).alias("covers"))
 
 

@@ -5,7 +5,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from farelake.llm import common, mixing, near_copies, toxicity
+from farelake.llm import common, mixing, near_copies, substring_dedup, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -96,6 +96,17 @@ def test_mixing_keeps_both_labels_beside_a_repeated_id(spark):
     assert max(low) < 1 < min(high)
 
 
+def test_substring_lists_do_not_grow_with_repeated_rows(spark):
+    rng = random.Random(9)
+    prose = lambda n: " ".join(rng.choice("abcdefgh") + str(rng.randrange(500)) for _ in range(n))
+    passage = prose(70)
+    rows = [(1, f"{prose(20)} {passage} {prose(20)}")] + [(2, f"{prose(15)} {passage} {prose(5)}")] * 30 + [(None, f"{passage} {prose(9)}")] * 30
+    keyed = substring_dedup._keyed(common.ready(spark).createDataFrame(rows, "doc_id long, text string"))
+    got = substring_dedup.repeats(keyed).collect()
+    assert len(got) == 2
+    assert all(len(r.covers) == len({tuple(c) for c in r.covers}) for r in got)
+
+
 def test_pipeline_keeps_different_texts_under_one_id(spark):
     rng = random.Random(10)
     prose = lambda: " ".join(rng.choice("abcdefgh") + str(rng.randrange(500)) for _ in range(40))
