@@ -33,10 +33,10 @@ def ready(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back: cuts the lineage, survives lost executors."""
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -116,3 +116,14 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return mixing_rates(docs, table(spark, sf_dir, "labels"), relative={0: 0.5}).select("doc_id", "tokens", "rate", "copies")
+
+
+@query
+def op11_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, written to Huffman-coded files in the order of the ids and read back."""
+    import public_tokenizers
+
+    from .token_files import token_file_round_trip
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_file_round_trip(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
