@@ -127,3 +127,11 @@ def op11_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_file_round_trip(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First four whitened components of every vector."""
+    from .whitening import whiten
+
+    return whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
