@@ -58,6 +58,28 @@ SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, v
 FROM pairs QUALIFY rank <= 10
 """
 
+ORACLES["op13_hard_negatives"] = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x, row_number() OVER () AS n
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+    SELECT a.n, a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS alike,
+           list_sum(list_transform(list_zip(a.x, b.x), lambda z: z[1] * z[2]))::BIGINT AS score
+    FROM v a JOIN v b ON a.n <> b.n WHERE a.vec_id % 100 = 0
+),
+p AS (
+    SELECT n, anchor_id, id AS positive_id, score AS positive_score FROM s WHERE alike
+    QUALIFY row_number() OVER (PARTITION BY n ORDER BY score DESC, id NULLS LAST) <= 5
+)
+SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.n, positive_id ORDER BY score DESC, id NULLS LAST)::INTEGER AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON p.n = s.n AND NOT alike AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
 _BIN_SHIFT = "greatest(length(bin({0})) - 6, 0)"
 
 

@@ -135,3 +135,13 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .whitening import whiten
 
     return whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, with the label of every seventh vector moved on by one."""
+    from .hard_negatives import hard_negatives
+
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.select("vec_id", "embedding", moved.alias("label")))
