@@ -16,11 +16,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
-from .topk_search import _best
+from .topk_search import _best, keyed_classes, rows_of_classes, without_itself
 from .whitening import whole_vectors
 
 ROWS_PER_BUCKET = 4096
@@ -173,14 +173,8 @@ def hard_negatives(
     square = F.expr("aggregate(x, double(0), (s, c) -> s + double(c) * double(c))")
     rows = whole_vectors(vectors.where("label IS NOT NULL"), scale, "label").where(square < 2.0**62)
     rows = stored(rows.select("vec_id", F.col("x").alias("v"), F.col("label").cast("long").alias("label")), "labelled_vectors")
-    by_id = F.col("vec_id").asc_nulls_last()
-    known = _best(rows, most, ["v", "label"], [by_id]).groupBy("v", "label").agg(
-        F.sort_array(F.collect_list(F.struct(F.col("vec_id").isNull().alias("none"), "vec_id"))).alias("ids")
-    )
-    first = F.coalesce(F.col("ids")[0]["vec_id"], F.lit((1 << 63) - 1))
-    dot = F.expr("aggregate(v, 0L, (s, c) -> s + c * c)")
-    known = known.select(F.xxhash64("v", "label").alias("hash"), "v", "label", "ids", first.alias("first"), dot.alias("square"))
-    classes = stored(_keyed(known), "labelled_classes")
+    dot = F.expr("aggregate(v, 0L, (s, c) -> s + c * c)").alias("square")
+    classes = stored(keyed_classes(rows, ["v", "label"], most).select("*", dot), "labelled_classes")
     asked = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id", "v", "label").agg(F.count("*").alias("copies"))
     asked = stored(asked, "anchor_rows").join(classes.select("v", "label", "cid"), ["v", "label"])
     asked = stored(asked.select(F.col("vec_id").alias("anchor_id"), F.col("cid").alias("q"), "copies"), "anchors")
@@ -203,32 +197,16 @@ def hard_negatives(
         found = _search(_cells(ask(closer), buckets, n_queries), same_label, k)
         return _best(found.join(firsts, "cid"), k, ["q", "turn"], order).select("q", "turn", "cid", "score")
 
-    def each_row(found: DataFrame, k: int) -> DataFrame:
-        """The k first rows of each (q, turn) instead of their classes: id, score, own (of the anchor's class), rank."""
-        listed = found.join(classes.select("cid", "ids"), "cid").select("q", "turn", "score", (F.col("cid") == F.col("q")).alias("own"), F.explode("ids.vec_id").alias("id"))
-        return _best(listed, k, ["q", "turn"], [F.col("score").desc(), F.col("id").asc_nulls_last(), "own"]).withColumnRenamed("_n", "rank")
-
     all_scores = wanted.select("cid", F.lit(0).cast("long").alias("turn"), F.lit(NO_BOUND).alias("low"), F.lit(-NO_BOUND).alias("high"))
-    near = stored(each_row(best(all_scores, True, positives + 1), positives + 1).select("q", "id", "score", "own", "rank"), "positives")
-    # of rows equal to the anchor in vector, label and id one is the anchor itself
-    mine = F.col("own") & F.col("id").eqNullSafe(F.col("anchor_id"))
-    pairs = asked.join(near, "q").withColumn("mine", mine)
-    itself = F.min(F.when(F.col("mine"), F.col("rank")))
-    told = pairs.groupBy("anchor_id", "q", "copies").agg(F.collect_list(F.struct("rank", "id", "score")).alias("all"), itself.alias("itself"))
-    others = F.filter("all", lambda p: F.col("itself").isNull() | (p["rank"] != F.col("itself")))
-    told = told.select("anchor_id", "q", "copies", F.explode(F.slice(F.sort_array(others), 1, positives)).alias("p"))
-    told = stored(told.select("anchor_id", "q", "copies", F.col("p.id").alias("positive_id"), F.col("p.score").alias("positive_score")), "anchor_positives")
+    best_alike = best(all_scores, True, positives + 1).drop("turn")
+    near = stored(rows_of_classes(best_alike, classes, ["q"], positives + 1), "positives")
+    told = without_itself(asked.join(near, "q"), "anchor_id", ["anchor_id", "q", "copies"], positives)
+    told = stored(told.select("anchor_id", "q", "copies", F.col("id").alias("positive_id"), F.col("score").alias("positive_score")), "anchor_positives")
     p = F.col("positive_score")
     score = p.cast("decimal(20,0)")
     inside = told.select(F.col("q").alias("cid"), p.alias("turn"), F.ceil(score * low / 100).cast("long").alias("low"), F.floor(score * high / 100).cast("long").alias("high"))
     inside = stored(inside.where("low <= high").distinct(), "spans")
-    far = stored(each_row(best(inside, False, negatives), negatives), "negatives")
+    far = stored(rows_of_classes(best(inside, False, negatives), classes, ["q", "turn"], negatives), "negatives")
     out = told.join(far.select("q", F.col("turn").alias("positive_score"), F.col("id").alias("negative_id"), F.col("score").alias("negative_score"), "rank"), ["q", "positive_score"])
     out = out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     return out.select("anchor_id", "positive_id", F.col("rank").cast("int").alias("rank"), "negative_id", "positive_score", "negative_score")
-
-
-def _keyed(known: DataFrame) -> DataFrame:
-    """``known`` with a key of its own for each row: the hash of vector and label, moved on where it is taken."""
-    turn = F.row_number().over(Window.partitionBy("hash").orderBy("label", "v"))
-    return known.withColumn("cid", F.col("hash") + turn - 1).drop("hash")

@@ -45,16 +45,16 @@ FROM g
 
 ORACLES["op5_threshold_search"] = """
 WITH v AS (
-    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS q
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS q, row_number() OVER () AS n
     FROM embeddings
-    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ),
 pairs AS (
-    SELECT a.vec_id AS query_id, b.vec_id,
+    SELECT a.n, a.vec_id AS query_id, b.vec_id,
            list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2]))::BIGINT AS score
-    FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+    FROM v a JOIN v b ON a.n <> b.n WHERE a.vec_id % 100 = 0
 )
-SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+SELECT query_id, row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id NULLS LAST)::INTEGER AS rank, vec_id, score
 FROM pairs QUALIFY rank <= 10
 """
 
@@ -66,15 +66,15 @@ WITH v AS (
     WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ),
 s AS (
-    SELECT a.n, a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS alike,
+    SELECT a.n, b.n AS m, a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS alike,
            list_sum(list_transform(list_zip(a.x, b.x), lambda z: z[1] * z[2]))::BIGINT AS score
     FROM v a JOIN v b ON a.n <> b.n WHERE a.vec_id % 100 = 0
 ),
 p AS (
-    SELECT n, anchor_id, id AS positive_id, score AS positive_score FROM s WHERE alike
+    SELECT n, m, anchor_id, id AS positive_id, score AS positive_score FROM s WHERE alike
     QUALIFY row_number() OVER (PARTITION BY n ORDER BY score DESC, id NULLS LAST) <= 5
 )
-SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.n, positive_id ORDER BY score DESC, id NULLS LAST)::INTEGER AS rank,
+SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.n, p.m ORDER BY score DESC, id NULLS LAST)::INTEGER AS rank,
        id AS negative_id, positive_score, score AS negative_score
 FROM p JOIN s ON p.n = s.n AND NOT alike AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
 QUALIFY rank <= 10
