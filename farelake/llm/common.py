@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -63,6 +63,21 @@ def map_batches(df: DataFrame, schema: str, work: Callable[[dict[str, list]], di
     return df.mapInArrow(run, schema)
 
 
+def fresh(names: Iterable[str], *wanted: str) -> list[str]:
+    """Names like ``wanted`` that no column of ``names`` has in any spelling."""
+    taken, out = {n.lower() for n in names}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def bounded_sample(df: DataFrame, rows: int, key: str) -> DataFrame:
     """At most ``rows`` rows, the first by a hash of ``key``: the same in every run.
 

@@ -11,11 +11,13 @@ A rate is realised as its whole part plus one more copy with the probability of
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, map_batches, stored
+from .common import bounded_sample, fresh, map_batches, quoted, stored
 from .quality_rules import measure_text
 
 
@@ -108,13 +110,15 @@ def fit_rates(posteriors: DataFrame, targets: np.ndarray, most_rounds: int = 30,
     k = len(targets)
     of = [F.col("posterior")[i] * F.col("tokens") for i in range(k)]
     steps: list[np.ndarray] = []
-    for _ in range(most_rounds):
+    for left in reversed(range(most_rounds)):
         at = posteriors.withColumn("_rate", rate_column(steps))
         gram = [F.when(F.col("_rate") > 0, of[i] * F.col("posterior")[j]) for i in range(k) for j in range(k)]
         sums = at.agg(*[F.coalesce(F.sum(x), F.lit(0.0)) for x in [*[F.col("_rate") * x for x in of], *gram]]).first()
         miss = np.array(sums[:k], float) - targets
         if np.abs(miss).sum() <= close * max(np.abs(targets).sum(), 1):
             break
+        if not left:
+            warnings.warn(f"expected totals miss the targets {targets.tolist()} by {miss.tolist()}", stacklevel=2)
         # whitened by the documents that still have a rate, which are the ones that can move either way
         steps.append(np.linalg.pinv(np.array(sums[k:], float).reshape(k, k), rcond=1e-9) @ miss)
     return steps
@@ -144,11 +148,12 @@ def mixing_rates(
 
 
 def mix(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
-    """The input's rows, each as often as its rate says (see ``mixing_rates``); columns stay as they are."""
+    """The input's rows, each as often as its rate says (see ``mixing_rates``); columns stay as they are, whatever their names."""
     names = docs.columns
-    keyed = docs.withColumns({"_mix_id": F.col("doc_id").cast("long"), "_mix_key": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
-    rates = mixing_rates(docs, labels, **settings).groupBy("doc_id", "text_key").agg(F.max("copies").alias("_copies"))
-    rates = rates.select(F.col("doc_id").alias("_r_id"), F.col("text_key").alias("_r_key"), "_copies").where("_copies > 0")
-    same = keyed["_mix_id"].eqNullSafe(rates["_r_id"]) & (keyed["_mix_key"] == rates["_r_key"])
-    rows = keyed.join(rates, same).withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return rows.select(*[F.col(f"`{c}`") for c in names])
+    own_id, own_key, of_id, of_key, copies, turn = fresh(names, "own_id", "own_key", "of_id", "of_key", "copies", "turn")
+    keyed = docs.withColumns({own_id: F.col("doc_id").cast("long"), own_key: F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
+    rates = mixing_rates(docs, labels, **settings).groupBy("doc_id", "text_key").agg(F.max("copies").alias(copies))
+    # written before it is joined: Spark splits a hot key only between plain shuffles
+    rates = stored(rates.select(F.col("doc_id").alias(of_id), F.col("text_key").alias(of_key), copies).where(F.col(copies) > 0), "rates")
+    rows = keyed.join(rates, F.col(own_id).eqNullSafe(F.col(of_id)) & (F.col(own_key) == F.col(of_key)))
+    return rows.withColumn(turn, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*map(quoted, names))

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, stored
+from .common import fresh, map_batches, quoted, stored
 
 SEED_WORDS = 16
 LAST = (1 << 63) - 1  # rank of a document without id: after all others
@@ -208,14 +208,16 @@ def remove_repeats(docs: DataFrame, window: int = 50, seed: int = SEED_WORDS) ->
     Texts that lose nothing stay as they are, NULLs included. Rules as in ``substring_dedup``.
     """
     names = docs.columns
-    covers = repeats(_keyed(docs), window, seed).select(F.col("rank").alias("_rank"), F.col("text_key").alias("_key"), F.col("covers").alias("_covers"))
+    own_rank, own_key, of_rank, of_key, cut = fresh(names, "own_rank", "own_key", "of_rank", "of_key", "cut")
+    covers = repeats(_keyed(docs), window, seed)
+    covers = stored(covers.select(F.col("rank").alias(of_rank), F.col("text_key").alias(of_key), F.col("covers").alias(cut)), "covers")
     rank, key = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    rows = docs.withColumns({"_own_rank": rank, "_own_key": key})
-    rows = rows.join(covers, (rows["_own_rank"] == covers["_rank"]) & (rows["_own_key"] == covers["_key"]), "left")
+    rows = docs.withColumns({own_rank: rank, own_key: key})
+    rows = rows.join(covers, (F.col(own_rank) == F.col(of_rank)) & (F.col(own_key) == F.col(of_key)), "left")
 
     @F.pandas_udf("string")
     def left_over(text: pd.Series, of: pd.Series) -> pd.Series:
         return pd.Series([t if c is None else b" ".join(keep_words(_words(t), c)).decode() for t, c in zip(text, of)], dtype=object)
 
-    text = F.when(F.col("_covers").isNull(), F.col("text")).otherwise(left_over(F.col("text").cast("string"), F.col("_covers")))
-    return rows.withColumn("text", text).select(*[F.col(f"`{c}`") for c in names])
+    text = F.when(F.col(cut).isNull(), F.col("text")).otherwise(left_over(F.col("text").cast("string"), F.col(cut)))
+    return rows.withColumn("text", text).select(*map(quoted, names))
