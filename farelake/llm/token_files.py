@@ -36,10 +36,10 @@ STEP = 256  # ids between two checkpoints
 MAGIC, BLOCK, END = b"FLHUFF1\0", b"FLBK", b"FLEN"  # fixed values: marks of the file format
 BLOCK_HEAD = struct.Struct("<4sIQQI")  # mark, documents, checkpoints, payload bytes, crc32 of all that follows the head
 BLOCK_BYTES = 1 << 20
-FILE_BYTES = 64 << 20
+FILE_BYTES = 32 << 20
 MOST_FILES = 10_000  # id ranges that the driver and every task know; beyond that files grow
-TEXT_BYTES = 24 << 20  # texts whose words are looked up together
-KNOWN_WORDS = 1_500_000  # words, and pieces of words, whose ids a Python worker remembers
+TEXT_BYTES = 12 << 20  # texts whose words are looked up together
+KNOWN_WORDS = 500_000  # words, and pieces of words, whose ids a Python worker remembers
 
 # The steps of a tokenizer file that read every word by itself.
 WORD_STEPS = (
