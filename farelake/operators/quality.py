@@ -157,6 +157,12 @@ def etl_outcome(trips: DataFrame, rules: DQRules = JOB_RULES, mode: str = "compl
     return tagged.withColumn("outcome", verdict)
 
 
+def sinks() -> dict[str, Column]:
+    """Where a judged row belongs: valid trips, dead letters, or (all others) neither."""
+    valid = F.col("outcome") == OK
+    return {"processed": valid, "dead_letter": ~F.col("outcome").isin(OK, PRE_FILTERED, LOST)}
+
+
 def etl_classify(trips: DataFrame, mode: str = "complete") -> tuple[DataFrame, DataFrame]:
     """(valid, invalid) of the ETL job."""
     judged = etl_outcome(trips, mode=mode)

@@ -21,44 +21,24 @@ def new_run_id() -> str:
 
 
 def run_processed(
-    trips: DataFrame,
-    processed_path: str,
-    dead_letter_path: str,
-    run_id: str | None = None,
-    mode: str = "complete",
-    clustered: bool = False,
-    on_dead_letter_error: str = "log",
+    trips: DataFrame, root: str, run_id: str | None = None, mode: str = "complete", clustered: bool = False
 ) -> dict[str, int | str]:
-    """Derive, filter, check, write valid trips and dead letters; returns counts per outcome.
+    """Derive, filter, check, write valid trips and dead letters together; returns counts per outcome.
 
-    Both outputs are written under the run's id, so a run that is repeated replaces its own rows.
-
-    Rows are judged in one expression instead of a filter and a count per check. The counts are
-    one aggregate that reads only the judged columns; accumulators observed during the write
+    The input is read once: rows are judged in one expression and written by outcome in one job, and one record commits both
+    sinks. Read them with ``zones.read_outcomes``. A run that dies in between shows nothing, a run that is repeated replaces
+    its rows, and a failed write of dead letters fails the run. The counts are taken from the rows written, as accumulators
     would count a task again when its executor is lost.
     """
     run_id = run_id or new_run_id()
-    judged = quality.etl_outcome(trips, mode=mode)
-    valid = judged.where(F.col("outcome") == quality.OK).drop("failure_reason", "outcome")
-    zones.write_processed(valid, processed_path, clustered, run_id)
-    rejected = judged.where(~F.col("outcome").isin(quality.OK, quality.PRE_FILTERED, quality.LOST))
-    zones.write_dead_letter(
-        rejected.drop("outcome").withColumn("failed_at", F.current_timestamp()),
-        dead_letter_path,
-        run_id,
-        on_dead_letter_error,
-    )
-    outcomes = [quality.OK, quality.PRE_FILTERED, quality.LOST, *quality.REASON_METRICS]
-    counts = judged.agg(
-        F.count(F.lit(1)).alias("records_processed"),
-        *[F.count_if(F.col("outcome") == o).alias(o) for o in outcomes],
-    )
-    return {"run_id": run_id, **counts.head().asDict()}
-
-
-def processed_report(spark: SparkSession, processed_path: str, run_id: str) -> tuple[DataFrame, DataFrame]:
+    outcomes = zones.write_outcomes(quality.etl_outcome(trips, mode=mode), root, run_id, quality.sinks(), clustered)
+    known = [quality.OK, quality.PRE_FILTERED, quality.LOST, *quality.REASON_METRICS]
+    return {"run_id": run_id, "records_processed": sum(outcomes.values())} | {o: outcomes.get(o, 0) for o in known}
+
+
+def processed_report(spark: SparkSession, root: str, run_id: str) -> tuple[DataFrame, DataFrame]:
     """What a processed run reports at its end, from its stored rows: averages with pickup range, rows per month."""
-    stored = spark.read.parquet(processed_path).where(F.col("run_id") == run_id)
+    stored = zones.read_outcomes(spark, root, run_id=run_id)
     return quality.quality_report(stored), quality.records_by_month(stored)
 
 

@@ -152,25 +152,28 @@ def _materialize(spark, sf_dir):
 
 
 def _run_processed(spark, sf_dir, mode="complete", times=1):
-    processed, dead = scratch_dir(spark, "processed"), scratch_dir(spark, "dead_letter")
+    root = scratch_dir(spark, "outcomes")
     for _ in range(times):
-        counts = runs.run_processed(_trips(spark, sf_dir), processed, dead, "run-1", mode=mode)
-    return processed, dead, counts
+        counts = runs.run_processed(_trips(spark, sf_dir), root, "run-1", mode=mode)
+    return root, counts
 
 
 def _processed_rows(spark, sf_dir, mode="complete", times=1):
-    processed, _, _ = _run_processed(spark, sf_dir, mode, times)
-    return z.read_zone(spark, processed).select(
+    root, _ = _run_processed(spark, sf_dir, mode, times)
+    return z.read_outcomes(spark, root).select(
         "trip_ref", "trip_duration_minutes", "tip_percentage", "etl_job_name", "year", "month"
     )
 
 
+def _dead_letters(spark, sf_dir, mode):
+    root, _ = _run_processed(spark, sf_dir, mode)
+    return z.read_outcomes(spark, root, z.REJECTED).select("trip_ref", "failure_reason", "run_id")
+
+
 for _suffix, _mode in (("", "complete"), ("_strict", "strict")):
     query(f"run_processed{_suffix}")(lambda spark, d, m=_mode: _processed_rows(spark, d, m))
-    query(f"run_processed_dead_letters{_suffix}")(
-        lambda spark, d, m=_mode: spark.read.parquet(_run_processed(spark, d, m)[1]).select("trip_ref", "failure_reason", "run_id")
-    )
-    query(f"run_processed_summary{_suffix}")(lambda spark, d, m=_mode: runs.report(lambda: _run_processed(spark, d, m)[2], spark))
+    query(f"run_processed_dead_letters{_suffix}")(lambda spark, d, m=_mode: _dead_letters(spark, d, m))
+    query(f"run_processed_summary{_suffix}")(lambda spark, d, m=_mode: runs.report(lambda: _run_processed(spark, d, m)[1], spark))
 
 query("run_processed_twice")(lambda spark, d: _processed_rows(spark, d, times=2))
 query("run_processed_report")(lambda spark, d: runs.processed_report(spark, _run_processed(spark, d)[0], "run-1")[0])
@@ -231,19 +234,12 @@ def _incremental(spark, sf_dir):
     return spark.read.parquet(target)
 
 
-def _streamed(spark, sf_dir):
-    processed, dead = scratch_dir(spark, "processed"), scratch_dir(spark, "dead_letter")
-    ingest.streaming_etl(
-        _lineitem_stream(spark, sf_dir), processed, dead, scratch_dir(spark, "checkpoint"), given.trips_from
-    )
-    return processed, dead
-
-
 @query("streaming_etl")
 def _streaming_etl(spark, sf_dir):
-    processed, dead = _streamed(spark, sf_dir)
-    ok = spark.read.parquet(processed).select("trip_ref", F.lit(q.OK).alias("outcome"))
-    bad = spark.read.parquet(dead).select("trip_ref", F.col("failure_reason").alias("outcome"))
+    root = scratch_dir(spark, "outcomes")
+    ingest.streaming_etl(_lineitem_stream(spark, sf_dir), root, scratch_dir(spark, "checkpoint"), given.trips_from)
+    ok = z.read_outcomes(spark, root).select("trip_ref", F.lit(q.OK).alias("outcome"))
+    bad = z.read_outcomes(spark, root, z.REJECTED).select("trip_ref", F.col("failure_reason").alias("outcome"))
     return ok.unionByName(bad)
 
 

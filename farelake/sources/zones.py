@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import logging
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-log = logging.getLogger(__name__)
+from .commits import CommitLog, newest, read_attempts
 
 # What a crawled trip table has to look like.
 EXPECTED_COLUMNS = 19
@@ -99,20 +99,57 @@ def write_table(df: DataFrame, name: str, if_exists: str = "append", path: str |
     (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
-def write_dead_letter(invalid: DataFrame, path: str, run_id: str, on_error: str = "raise") -> bool:
-    """Rejected rows of a run under ``run_id=…``; repeating the run replaces its rows.
+def write_dead_letter(invalid: DataFrame, path: str, run_id: str) -> None:
+    """Rejected rows under ``run_id=…``, for callers that write them alone; repeating the run replaces its rows."""
+    # Few rows from many tasks: gather them into files of a sensible size.
+    invalid.drop("run_id").hint("rebalance").write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
 
-    ``on_error='log'`` lets the job go on when this write fails.
+
+VALID, REJECTED, SKIPPED = "processed", "dead_letter", "skipped"
+
+
+def write_outcomes(judged: DataFrame, root: str, run_id: str, sinks: dict[str, Column], clustered: bool = False) -> dict[str, int]:
+    """Write judged rows (column ``outcome``) into all their sinks at once and commit them together; rows per outcome.
+
+    ``sinks`` maps outcomes to a sink; the rows of the sink ``skipped`` are kept as outcomes only, so that counts come from
+    what was written and not from a second look at the input. One write goes into an attempt folder of its own, one record makes
+    it current: a run that dies before has no rows anywhere, one that is repeated replaces its rows in every sink.
     """
-    try:
-        # Few rows from many tasks: gather them into files of a sensible size.
-        invalid.drop("run_id").hint("rebalance").write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
-        return True
-    except Exception:
-        if on_error == "raise":
-            raise
-        log.exception("dead letters of run %s could not be written", run_id)
-        return False
+    spark, log = judged.sparkSession, CommitLog(judged.sparkSession, root)
+    sink = F.coalesce(*[F.when(condition, F.lit(name)) for name, condition in sinks.items()], F.lit(SKIPPED))
+    marked = judged.withColumn("sink", sink).withColumn("failed_at", F.when(F.col("sink") == REJECTED, F.current_timestamp()))
+    kept = [c for c in marked.columns if c not in ("sink", "outcome", "failed_at")]
+    rows = marked.select(*[F.when(F.col("sink") != SKIPPED, F.col(c)).alias(c) for c in kept], "outcome", "failed_at", "sink")
+    keys = ["sink", *[c for c in EXPECTED_PARTITIONS if c in kept]]
+    folder = f"run_id={run_id}/attempt={uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/attempts/{folder}"
+    (rows if clustered else rows.hint("rebalance", *keys)).write.partitionBy(*keys).parquet(path)
+    names = [f for f in rows.schema.fields if f.name not in keys] + [rows.schema[k] for k in keys]
+    schema = StructType(names).add("run_id", "string").add("attempt", "string")
+    written = spark.read.schema(schema).option("basePath", f"{root.rstrip('/')}/attempts").parquet(path)
+    found = written.groupBy("sink", "outcome").count().collect()
+    counts: dict[str, int] = {}
+    for r in found:
+        counts[r["sink"]] = counts.get(r["sink"], 0) + r["count"]
+    outcomes = {r["outcome"]: r["count"] for r in found}
+    log.append({"run_id": run_id, "folder": folder, "counts": counts, "outcomes": outcomes, "schema": _ddl(schema)})
+    return outcomes
+
+
+def _ddl(schema: StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
+def committed_runs(spark: SparkSession, root: str) -> dict[str, dict]:
+    """The record that counts of every run: its folder, its rows per sink and per outcome."""
+    return newest(CommitLog(spark, root).records(), "run_id")
+
+
+def read_outcomes(spark: SparkSession, root: str, sink: str = VALID, run_id: str | None = None) -> DataFrame:
+    """Committed rows of a sink, of all runs or of one; rows of runs that did not commit are not there."""
+    runs = committed_runs(spark, root)
+    df = read_attempts(spark, root, [runs[run_id]] if run_id is not None else list(runs.values()), sink).drop("attempt")
+    return df.drop("outcome", "failed_at", "failure_reason") if sink == VALID else df.drop("outcome")
 
 
 def export_csv(df: DataFrame, path: str) -> None:

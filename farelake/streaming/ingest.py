@@ -9,11 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators import quality
-from ..sources.zones import by_month
+from ..sources.zones import write_outcomes
 
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -57,32 +56,16 @@ def incremental_ingest(
 
 
 def streaming_etl(
-    files: DataFrame,
-    processed: str,
-    dead_letters: str,
-    checkpoint: str,
-    transform: Transform = lambda df: df,
-    mode: str = "complete",
+    files: DataFrame, root: str, checkpoint: str, transform: Transform = lambda df: df, mode: str = "complete"
 ) -> None:
-    """New files through the quality checks into two sinks.
+    """New files through the quality checks into both sinks of ``root``; read them with ``zones.read_outcomes``.
 
-    Both writes replace the folder of their batch, so a batch that is replayed after a failure
-    leaves no duplicates.
+    A batch is judged and written once, and one record commits its valid and its rejected rows together. A batch that is
+    replayed after a failure replaces what it had committed, one that died before its record shows nothing.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        judged = quality.etl_outcome(transform(batch), mode=mode)
-        valid = judged.where(F.col("outcome") == quality.OK).drop("failure_reason", "outcome")
-        by_month(valid).write.mode("overwrite").partitionBy("year", "month").parquet(
-            f"{processed}/batch_id={batch_id}"
-        )
-        rejected = judged.where(
-            ~F.col("outcome").isin(quality.OK, quality.PRE_FILTERED, quality.LOST)
-        )
-        failed = rejected.drop("outcome").withColumn("failed_at", F.current_timestamp())
-        failed.hint("rebalance").write.mode("overwrite").parquet(
-            f"{dead_letters}/batch_id={batch_id}"
-        )
+        write_outcomes(quality.etl_outcome(transform(batch), mode=mode), root, f"batch-{batch_id}", quality.sinks())
 
     _finish(files.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint))
 

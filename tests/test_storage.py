@@ -66,15 +66,6 @@ def test_verify_schema_reports_missing(spark):
     assert ("partition", "year=2024") in found
 
 
-def test_dead_letter_error_policy(spark, tmp_path):
-    blocked = tmp_path / "file"
-    blocked.write_text("x")
-    df = spark.range(1).select(F.lit("r").alias("failure_reason"))
-    assert z.write_dead_letter(df, str(blocked), "1", on_error="log") is False
-    with pytest.raises(Exception):
-        z.write_dead_letter(df, str(blocked), "1", on_error="raise")
-
-
 def test_write_table_modes(spark, tmp_path):
     df = spark.range(3)
     z.write_table(df, "mode_table", "fail", str(tmp_path / "t"))
@@ -112,11 +103,12 @@ def test_star_loads_add_up(spark, tmp_path):
 
 
 def test_a_repeated_run_replaces_its_rows(spark, tmp_path):
-    trips = given.trips(spark, SF)
+    trips, root = given.trips(spark, SF), str(tmp_path)
     for run in ("r1", "r1", "r2"):
-        got = runs.run_processed(trips, str(tmp_path / "p"), str(tmp_path / "d"), run)
-    assert z.read_zone(spark, str(tmp_path / "p")).count() == 2 * got["ok"]
-    report, months = runs.processed_report(spark, str(tmp_path / "p"), "r2")
+        got = runs.run_processed(trips, root, run)
+    assert z.read_outcomes(spark, root).count() == 2 * got["ok"]
+    assert z.read_outcomes(spark, root, run_id="r1").count() == got["ok"]
+    report, months = runs.processed_report(spark, root, "r2")
     assert report.first().total_records == got["ok"] == sum(r.record_count for r in months.collect())
 
 
@@ -131,11 +123,11 @@ def test_a_second_crawl_adds_new_columns(spark, tmp_path):
 
 
 def test_processed_run_counts_add_up(spark, tmp_path):
-    trips = given.trips(spark, SF)
-    got = runs.run_processed(trips, str(tmp_path / "p"), str(tmp_path / "d"), "r1")
+    trips, root = given.trips(spark, SF), str(tmp_path)
+    got = runs.run_processed(trips, root, "r1")
     assert got["records_processed"] == trips.count() == sum(v for k, v in got.items() if k not in ("records_processed", "run_id"))
-    assert spark.read.parquet(str(tmp_path / "p")).count() == got["ok"]
-    assert spark.read.parquet(str(tmp_path / "d")).count() == got["records_processed"] - got["ok"] - got["pre_filtered"]
+    assert z.read_outcomes(spark, root).count() == got["ok"]
+    assert z.read_outcomes(spark, root, z.REJECTED).count() == got["records_processed"] - got["ok"] - got["pre_filtered"]
 
 
 def test_fact_rows_plus_skipped_is_input(spark):
@@ -174,19 +166,18 @@ def test_ingest_takes_only_new_files(spark, tmp_path):
 
 def test_streaming_etl_equals_batch_and_survives_replay(spark, tmp_path):
     raw = given.table(spark, SF, "lineitem")
-    source = str(tmp_path / "in")
+    source, root = str(tmp_path / "in"), str(tmp_path / "out")
     raw.repartition(4).write.parquet(source)
-    processed, dead = str(tmp_path / "p"), str(tmp_path / "d")
 
     def stream(checkpoint):
         files = ingest.new_files(spark, source, raw.schema, files_per_batch=2)
-        ingest.streaming_etl(files, processed, dead, str(tmp_path / checkpoint), given.trips_from)
-        return spark.read.parquet(processed).count(), spark.read.parquet(dead).count()
+        ingest.streaming_etl(files, root, str(tmp_path / checkpoint), given.trips_from)
+        return z.read_outcomes(spark, root).count(), z.read_outcomes(spark, root, z.REJECTED).count()
 
-    batch = runs.run_processed(given.trips(spark, SF), str(tmp_path / "bp"), str(tmp_path / "bd"), "r")
+    batch = runs.run_processed(given.trips(spark, SF), str(tmp_path / "batch"), "r")
     want = (batch["ok"], batch["records_processed"] - batch["ok"] - batch["pre_filtered"])
     assert stream("c1") == want
-    # The same batches again, as after a lost commit: their folders are replaced.
+    # The same batches again, as after a lost commit: what they had committed is replaced.
     assert stream("c2") == want
 
 
