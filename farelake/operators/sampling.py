@@ -1,19 +1,20 @@
 """Exact-size samples that are the same in every run: rows with the smallest md5 of key and seed.
 
-The first digits of the md5 split the rows into even buckets. Counting the buckets, and the
-buckets of the one in which the sample ends once more, gives the hash at which it ends, so no
-task sorts the table and the rows never meet in one place.
+A first pass counts the rows of every stratum and every bucket of the first hash digits; that small histogram is stored.
+Quotas, the bucket in which each stratum's sample ends, and the bucket in which a trimmed or topped-up sample ends all
+follow from it. A second pass selects: rows before the last bucket are in, and only the rows of the last buckets are
+ranked. No task sorts the table and the rows never meet in one place.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import BROADCAST_ROWS
+from ..session import stored
+from .joins import checked_broadcast
 
 PREFIX = 4  # hex digits of the md5 that are counted: at most 65,536 buckets per stratum
 
@@ -22,90 +23,87 @@ def _digest(key: str, seed: int) -> Column:
     return F.md5(F.concat(F.col(key), F.lit(f"-{seed}")))
 
 
-def _digits(rows: int, strata: int) -> int:
-    """Digits that leave some thousand rows per bucket, so counting them reduces the data."""
-    return min(PREFIX, max(1, round(math.log(max(rows / max(strata, 1) / 1000, 1), 16))))
+def _histogram(trips: DataFrame, stratum: str | None, seed: int, key: str) -> DataFrame:
+    """Rows per stratum and hash bucket, stored: columns ``_s``, ``_b``, ``_in``."""
+    value = F.col(stratum) if stratum else F.lit(0)
+    counts = trips.groupBy(value.alias("_s"), F.substring(_digest(key, seed), 1, PREFIX).alias("_b"))
+    return stored(counts.agg(F.count(F.lit(1)).alias("_in")), "sample_histogram")
 
 
-def _cut(rows: DataFrame, quota: DataFrame, strata: list[str], bucket: Column) -> DataFrame:
-    """Per stratum the last bucket that is needed, and how many of its rows: columns ``_b`` and ``_want``."""
-    counts = rows.groupBy(*strata, bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_in"))
-    running = Window.partitionBy(*strata).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    upto = counts.withColumn("_before", F.sum("_in").over(running) - F.col("_in"))
-    limits = upto.join(quota, strata) if strata else upto.withColumn("_quota", quota.scalar())
-    last = F.max(F.struct("_b", (F.col("_quota") - F.col("_before")).alias("_want"))).alias("_last")
-    return limits.where(F.col("_before") < F.col("_quota")).groupBy(*strata).agg(last).select(*strata, "_last.*")
+def _end(counts: DataFrame, rows: int, column: str) -> tuple[str, int]:
+    """The bucket that holds the last of ``rows`` rows in bucket order, and how many of its rows belong to them."""
+    per_bucket = counts.groupBy("_b").agg(F.sum(column).alias("_in"))  # at most 16^PREFIX rows
+    upto = F.sum("_in").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0))
+    before = (F.col("_upto") - F.col("_in")).alias("_before")
+    last = per_bucket.withColumn("_upto", upto).where(F.col("_upto") >= rows).orderBy("_b").select("_b", before).first()
+    return (last[0], rows - last[1]) if rows > 0 and last else ("", 0)
 
 
-def _take_smallest(
-    df: DataFrame, quota: DataFrame, strata: list[str], few: bool = True, digits: int | None = None
-) -> DataFrame:
-    """The ``_quota`` rows with the smallest ``_h`` of each stratum.
+def _ranked(rows: DataFrame, by: list[str], end: Column) -> Column:
+    """Rank by hash within ``by`` for the rows of an ending bucket; other rows get 0."""
+    rank = F.row_number().over(Window.partitionBy(*by, F.when(~end, F.col("_h"))).orderBy("_h"))
+    return F.when(end, rank).otherwise(F.lit(0))
 
-    ``quota`` has one row per stratum (columns ``strata`` and ``_quota``); NULL strata have none.
-    ``few`` says that the strata have been counted and are few enough to broadcast. The bucket in which a stratum's
-    sample ends is split again by the next four digits, so the hash at which the sample ends is looked for among a
-    65,536th of it, however large the stratum. Those passes read key columns only; the last one filters whole rows by
-    that hash, without a window.
-    """
-    d = digits or PREFIX
-    hashes = df.select(*strata, "_h")
-
-    def attach(rows: DataFrame, small: DataFrame, **names: str) -> DataFrame:
-        """Columns of ``small`` (one row per stratum) as given names; without strata it is one row, a scalar."""
-        if strata:
-            some = small.select(*strata, *[F.col(c).alias(n) for n, c in names.items()])
-            return rows.join(F.broadcast(some) if few else some, strata)
-        one = small.agg(F.first(F.struct(*[F.col(c).alias(n) for n, c in names.items()]))).scalar()
-        return rows.withColumn("_one", one).select("*", "_one.*").drop("_one")
-
-    first = _cut(hashes, quota, strata, F.substring("_h", 1, d))
-    inside = attach(hashes, first, _b1="_b").where(F.substring("_h", 1, d) == F.col("_b1")).drop("_b1")
-    second = _cut(inside, first.select(*strata, F.col("_want").alias("_quota")), strata, F.substring("_h", d + 1, 4))
-    ends = attach(inside, second, _b2="_b", _want="_want").where(F.substring("_h", d + 1, 4) == F.col("_b2"))
-    ranked = ends.withColumn("_rn", F.row_number().over(Window.partitionBy(*strata).orderBy("_h")))
-    end = ranked.where(F.col("_rn") <= F.col("_want")).groupBy(*strata).agg(F.max("_h").alias("_last"))
-    return attach(df, end, _end="_last").where(F.col("_h") <= F.col("_end")).drop("_end")
-
-
-def sample_random(
-    trips: DataFrame, n: int = 10_000, seed: int = 42, key: str = "trip_ref"
-) -> DataFrame:
+
+def sample_random(trips: DataFrame, n: int = 10_000, seed: int = 42, key: str = "trip_ref") -> DataFrame:
     """Exactly ``n`` rows, or all rows if there are fewer. ``key`` must be unique."""
-    hashed = trips.withColumn("_h", _digest(key, seed))
-    quota = trips.sparkSession.range(1).select(F.lit(n).cast("long").alias("_quota"))
-    return _take_smallest(hashed, quota, []).drop("_h")
+    counts = _histogram(trips, None, seed, key)
+    rows = counts.agg(F.coalesce(F.sum("_in"), F.lit(0))).first()[0]
+    return _first_rows(trips, counts, rows, n, seed, key)
+
+
+def _first_rows(trips: DataFrame, counts: DataFrame, rows: int, n: int, seed: int, key: str) -> DataFrame:
+    if n >= rows:
+        return trips
+    last, want = _end(counts, n, "_in")
+    near = trips.withColumn("_h", _digest(key, seed)).withColumn("_b", F.substring("_h", 1, PREFIX)).where(F.col("_b") <= last)
+    rank = _ranked(near, ["_b"], F.col("_b") == last)
+    return near.withColumn("_n", rank).where(F.col("_n") <= want).select(*[F.col(f"`{c}`") for c in trips.columns])
 
 
 def sample_stratified(
     trips: DataFrame, n: int = 10_000, stratum: str = "payment_type", seed: int = 42, key: str = "trip_ref"
 ) -> DataFrame:
-    """Each stratum in proportion (rounded half to even), then topped up or trimmed to ``n``."""
+    """Each stratum in proportion (rounded half to even), then topped up or trimmed to ``n``.
+
+    Rows without stratum have no quota of their own and come in by the top-up only.
+    """
     if stratum not in trips.columns:
         raise ValueError(f"column {stratum!r} not found")
-    sizes = trips.groupBy(stratum).agg(F.count(F.lit(1)).alias("size"))
-    rows, strata = sizes.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).head()
+    counts = _histogram(trips, stratum, seed, key)
+    rows = counts.agg(F.coalesce(F.sum("_in"), F.lit(0))).first()[0]
     if n > rows:
         return trips
     # The same arithmetic as a fraction per stratum: round(size * (n / rows)).
-    quota = sizes.dropna(subset=[stratum]).select(
-        stratum, F.bround(F.col("size") * F.lit(n / rows), 0).cast("long").alias("_quota")
-    )
-    total = quota.agg(F.coalesce(F.sum("_quota"), F.lit(0))).head()[0]
-    hashed = trips.withColumn("_h", _digest(key, seed))
-    per_stratum = _digits(rows, strata)
-    chosen = _take_smallest(hashed, quota, [stratum], strata <= BROADCAST_ROWS, per_stratum)
-    one = trips.sparkSession.range(1)
-    if total > n:
-        all_n = one.select(F.lit(n).cast("long").alias("_quota"))
-        chosen = _take_smallest(chosen, all_n, [], digits=_digits(total, 1))
-    elif total < n:
-        taken = chosen.select(key)  # ``total`` rows
-        taken = F.broadcast(taken) if total <= BROADCAST_ROWS else taken
-        rest = hashed.join(taken, key, "left_anti")
-        more = one.select(F.lit(n - total).cast("long").alias("_quota"))
-        chosen = chosen.unionByName(_take_smallest(rest, more, [], digits=_digits(rows, 1)))
-    return chosen.drop("_h")
+    share = n / rows if rows else 0.0
+    quota = F.bround(F.sum("_in").over(Window.partitionBy("_s")) * F.lit(share), 0).cast("long")
+    running = Window.partitionBy("_s").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    placed = counts.withColumn("_quota", F.when(F.col("_s").isNull(), 0).otherwise(quota))
+    placed = placed.withColumn("_before", F.sum("_in").over(running) - F.col("_in"))
+    taken = F.least("_in", F.greatest(F.col("_quota") - F.col("_before"), F.lit(0)))
+    placed = stored(placed.withColumn("_taken", taken).withColumn("_left", F.col("_in") - F.col("_taken")), "sample_quotas")
+    total = placed.agg(F.coalesce(F.sum("_taken"), F.lit(0))).first()[0]
+    # the bucket in which the sample of a stratum ends, and how many of its rows are in
+    ends = placed.where("_taken > 0").groupBy(F.col("_s").alias("_of")).agg(F.max(F.struct("_b", "_taken")).alias("_end"))
+    ends = checked_broadcast(stored(ends.select("_of", F.col("_end._b").alias("_last"), F.col("_end._taken").alias("_want")), "sample_ends"))
+    trim = total > n
+    if trim:
+        bucket, want = _end(placed, n, "_taken")
+    else:
+        bucket, want = _end(placed, n - total, "_left")
+    hashed = trips.withColumn("_h", _digest(key, seed)).withColumn("_b", F.substring("_h", 1, PREFIX))
+    near = hashed.join(ends, F.col(stratum) == F.col("_of"), "left")
+    mine, rest = F.col("_b") <= F.coalesce("_last", F.lit("")), F.col("_b") <= F.lit(bucket)
+    near = near.where(mine & rest if trim else mine | rest)
+    at_end = F.coalesce(F.col("_b") == F.col("_last"), F.lit(False))
+    near = near.withColumn("_n", _ranked(near, ["_of", "_b"], at_end))
+    near = near.withColumn("_chosen", F.coalesce((F.col("_b") < F.col("_last")) | at_end & (F.col("_n") <= F.col("_want")), F.lit(False)))
+    # the rows that the trim leaves, or that the top-up adds: first by hash of the chosen, or of the others
+    fits = F.col("_chosen") if trim else ~F.col("_chosen")
+    at_bucket = fits & (F.col("_b") == F.lit(bucket))
+    near = near.withColumn("_m", _ranked(near, ["_b", "_chosen"], at_bucket))
+    inside = fits & ((F.col("_b") < F.lit(bucket)) | at_bucket & (F.col("_m") <= want))
+    return near.where(inside if trim else F.col("_chosen") | inside).select(*[F.col(f"`{c}`") for c in trips.columns])
 
 
 def sample_time_range(
@@ -125,9 +123,11 @@ def sample_time_range(
         kept = kept.where(F.col(col) >= F.lit(start).cast("timestamp_ntz"))
     if end is not None:
         kept = kept.where(F.col(col) <= F.lit(end).cast("timestamp_ntz"))
-    if kept.isEmpty():
+    counts = _histogram(kept, None, seed, key)
+    rows = counts.agg(F.coalesce(F.sum("_in"), F.lit(0))).first()[0]
+    if not rows:
         raise ValueError("no trips in the given time range")
-    return sample_random(kept, n, seed, key)
+    return _first_rows(kept, counts, rows, n, seed, key)
 
 
 def sample_validation(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every operator relies on; all of them are dynamic SQL confs, so
 # they can be applied to a session that somebody else created.
@@ -58,3 +58,13 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if spark.conf.get("spark.master", "local").startswith("local"):
         return f"{tempfile.mkdtemp(prefix='farelake-')}/{label}"
     raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write a small intermediate result to the scratch folder and read it back, so that it is computed once.
+
+    Unlike a cached one it outlives lost executors.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
