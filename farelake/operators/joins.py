@@ -18,8 +18,8 @@ def checked_broadcast(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(dim) if small else dim
 
 
-def partial_sums(fact: DataFrame, keys: list[str], measures: dict[str, Column]) -> DataFrame:
-    """Rows, sums and non-null counts per key: what a later roll-up needs to give sums and means.
+def partial_sums(fact: DataFrame, keys: list[str], measures: dict[str, Column], more: list[Column] = ()) -> DataFrame:
+    """Rows, sums, non-null counts and the aggregates ``more`` per key: what a later roll-up needs to give sums and means.
 
     Reducing facts to their foreign keys first means a join with a dimension moves one row
     per key instead of one row per trip, so a hot key costs one row.
@@ -27,7 +27,7 @@ def partial_sums(fact: DataFrame, keys: list[str], measures: dict[str, Column])
     aggs = [F.count(F.lit(1)).alias("_n")]
     for name, value in measures.items():
         aggs += [F.sum(value).alias(f"_s_{name}"), F.count(value).alias(f"_c_{name}")]
-    return fact.groupBy(*keys).agg(*aggs)
+    return fact.groupBy(*keys).agg(*aggs, *more)
 
 
 def rows_total() -> Column:

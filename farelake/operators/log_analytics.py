@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import log_field
-from .percentiles import with_percentiles
+from .joins import mean_of
+from .percentiles import add_percentiles, range_parts
 
 # Which group patterns a question looks at.
 HANDLERS = ("/lambda/*",)
@@ -73,12 +74,12 @@ def log_failed_records(logs, start=None, end=None, groups=EVERYTHING, last_hours
 
 def log_processing_time(logs, start=None, end=None, groups=HANDLERS, last_hours=None, limit=None) -> DataFrame:
     kept = log_query(logs, start, end, groups, last_hours).where("type = 'REPORT'").withColumn("bin", _bin("5 minutes"))
-    grouped = kept.groupBy("bin").agg(
-        F.avg("duration").alias("avg_duration"),
-        F.max("duration").alias("max_duration"),
-        F.min("duration").alias("min_duration"),
+    ends = [F.max("duration").alias("most"), F.min("duration").alias("least")]
+    parts = range_parts(kept, ["bin"], "duration", {"duration": F.col("duration")}, ends)
+    grouped = parts.groupBy("bin").agg(
+        mean_of("duration").alias("avg_duration"), F.max("most").alias("max_duration"), F.min("least").alias("min_duration")
     )
-    out = with_percentiles(grouped, kept, ["bin"], "duration", {"p50": 0.5, "p95": 0.95})
+    out = add_percentiles(grouped, parts, kept, ["bin"], "duration", {"p50": 0.5, "p95": 0.95})
     return _capped(out, limit, F.desc("bin"))
 
 

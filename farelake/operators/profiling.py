@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .percentiles import exact_percentiles
+from .percentiles import add_percentiles, range_parts, ranked_values
 
 _NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
 _TIMES = ("timestamp", "timestamp_ntz", "date")
@@ -42,37 +42,33 @@ def missing_summary(df: DataFrame) -> DataFrame:
     return profile_schema(df).where(F.col("nulls") > 0).select("column", "nulls", "null_pct")
 
 
+def _long_form(df: DataFrame, columns: list[str], *further: Column) -> DataFrame:
+    """A row (column, value) for each row and column, with further columns beside the first of them only."""
+    structs = [
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"), *[(x if i == 0 else F.lit(None)).alias(f"x{j}") for j, x in enumerate(further)])
+        for i, c in enumerate(columns)
+    ]
+    return df.select(F.inline(F.array(*structs)))
+
+
 def profile_numeric(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Count, mean, standard deviation, extremes and exact quartiles per numeric column."""
+    """Count, mean, standard deviation, extremes and exact quartiles per numeric column.
+
+    All follow from one pass that sums every column up per value range, and one over the values of the ranges that the
+    quartiles lie in. Variances of ranges are put together about their own means, so nothing cancels.
+    """
     columns = columns or _columns(df, _NUMERIC)
-    measures = {
-        "count": F.count,
-        "mean": F.avg,
-        "std": F.stddev_samp,
-        "min": lambda c: F.min(F.col(c).cast("double")),
-        "max": lambda c: F.max(F.col(c).cast("double")),
-    }
-    row = df.agg(*[f(c).alias(f"{m}_{c}") for c in columns for m, f in measures.items()])
-    items = F.array(
-        *[
-            F.struct(F.lit(c).alias("column"), *[F.col(f"{m}_{c}").alias(m) for m in measures])
-            for c in columns
-        ]
-    )
-    values = df.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
-                    for c in columns
-                ]
-            )
-        )
-    )
-    quartiles = exact_percentiles(
-        values, ["column"], "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}
-    )
-    return row.select(F.inline(items)).join(quartiles, "column", "left")
+    values, key = _long_form(df, columns), ["column"]
+    value = F.col("value")
+    own = [F.count(value).alias("n"), F.sum(value).alias("total"), F.avg(value).alias("mean"), F.var_pop(value).alias("var"),
+           F.min(value).alias("least"), F.max(value).alias("most")]
+    parts = range_parts(values, key, "value", more=own)
+    whole = parts.groupBy(*key).agg(F.sum("n").alias("count"), (F.sum("total") / F.sum("n")).alias("mean"), F.min("least").alias("min"), F.max("most").alias("max"))
+    spread = F.col("var") * F.col("n") + F.col("n") * F.pow(F.col("part_mean") - F.col("mean"), 2)
+    about = parts.select(*key, "n", "var", F.col("mean").alias("part_mean")).join(F.broadcast(whole.select(*key, "mean")), key)
+    std = about.groupBy(*key).agg(F.sqrt(F.sum(spread) / F.nullif(F.sum("n") - 1, F.lit(0))).alias("std"))
+    out = whole.join(std, key).select(*key, "count", "mean", "std", "min", "max")
+    return add_percentiles(out, parts, values, key, "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
 
 
 def profile_categorical(df: DataFrame, columns: list[str] | None = None, k: int = 5) -> DataFrame:
@@ -139,44 +135,33 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 
 
 def sample_statistics(trips: DataFrame) -> DataFrame:
-    """One row of headline statistics; the smallest value wins a tie of the mode."""
-    medians = exact_percentiles(
-        trips.select(
-            F.inline(
-                F.array(
-                    *[
-                        F.struct(F.lit(c).alias("what"), F.col(c).cast("double").alias("value"))
-                        for c in ("trip_distance", "fare_amount")
-                    ]
-                )
-            )
-        ),
-        ["what"],
-        "value",
-        {"median": 0.5},
-    ).agg(
-        F.struct(
-            F.max(F.when(F.col("what") == "trip_distance", F.col("median"))).alias("distance"),
-            F.max(F.when(F.col("what") == "fare_amount", F.col("median"))).alias("fare"),
-        )
+    """One row of headline statistics; the smallest value wins a tie of the mode.
+
+    One pass sums distance, fare and passengers up per value range, a second one looks for the medians. The counts per number
+    of passengers come from the first one too, as that column is split by its values.
+    """
+    values, key = _long_form(trips, ["trip_distance", "fare_amount", "passenger_count"], F.col("tpep_pickup_datetime")), ["column"]
+    values = values.withColumn("each", F.when(F.col("column") == "passenger_count", F.col("value")))
+    value, more = F.col("value"), [F.min("x0").alias("first"), F.max("x0").alias("last"), F.max("value").alias("most")]
+    parts = range_parts(values, key, "value", {"value": value}, more, also=["each"])
+    medians = ranked_values(parts.where("column != 'passenger_count'"), values, key, "value", {"median": 0.5})
+    of = lambda c, what: F.sum(F.when(F.col("column") == c, F.col(what)))
+    mean = lambda c: of(c, "_s_value").cast("double") / F.nullif(of(c, "_c_value"), F.lit(0))
+    common = parts.where("each IS NOT NULL").groupBy("each").agg(F.sum("_n").alias("n"))
+    mode = common.agg(F.max_by("each", F.struct("n", (-F.col("each")).alias("smallest"))).alias("m"))
+    whole = parts.agg(
+        F.coalesce(of("trip_distance", "_n"), F.lit(0)).alias("total_trips"),
+        F.min("first").alias("date_start"),
+        F.max("last").alias("date_end"),
+        mean("trip_distance").alias("distance_mean"),
+        F.max(F.when(F.col("column") == "trip_distance", F.col("most"))).alias("distance_max"),
+        mean("fare_amount").alias("fare_mean"),
+        of("fare_amount", "_s_value").alias("fare_total"),
+        mean("passenger_count").alias("passengers_mean"),
     )
-    # Two columns of one scalar subquery; Spark runs it once.
-    m = medians.scalar()
-    # counts per value instead of one buffer with all distinct values
-    common = (
-        trips.where("passenger_count IS NOT NULL")
-        .groupBy("passenger_count")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.max_by("passenger_count", F.struct("n", (-F.col("passenger_count")).alias("smallest"))))
-        .scalar()
+    median = lambda c: F.max(F.when(F.col("column") == c, F.col("median")))
+    m = medians.agg(F.struct(median("trip_distance").alias("distance"), median("fare_amount").alias("fare"))).scalar()
+    kind = trips.schema["passenger_count"].dataType
+    return whole.withColumns(
+        {"passengers_mode": mode.select(F.col("m").cast(kind)).scalar(), "distance_median": m["distance"], "fare_median": m["fare"]}
     )
-    return trips.agg(
-        F.count(F.lit(1)).alias("total_trips"),
-        F.min("tpep_pickup_datetime").alias("date_start"),
-        F.max("tpep_pickup_datetime").alias("date_end"),
-        F.avg("trip_distance").alias("distance_mean"),
-        F.max("trip_distance").alias("distance_max"),
-        F.avg("fare_amount").alias("fare_mean"),
-        F.sum("fare_amount").alias("fare_total"),
-        F.avg("passenger_count").alias("passengers_mean"),
-    ).withColumns({"passengers_mode": common, "distance_median": m["distance"], "fare_median": m["fare"]})

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .. import functions as fn
 from ..operators.cleaning import PICKUP
 from ..operators.joins import mean_of, partial_sums, rows_total, sum_of
-from ..operators.percentiles import with_percentiles
+from ..operators.percentiles import add_percentiles, range_parts
 from .views import share
 
 _MEASURES = ("total_amount", "trip_distance", "trip_duration_minutes", "tip_amount", "passenger_count")
@@ -341,14 +341,10 @@ def demo_daily(curated: DataFrame, start: str, end: str, limit: int = 10) -> Dat
         (F.col("pickup_datetime") >= F.lit(start).cast("timestamp_ntz"))
         & (F.col("pickup_datetime") < F.lit(end).cast("timestamp_ntz"))
     ).withColumn("trip_date", F.date_trunc("day", "pickup_datetime").cast("timestamp_ntz"))
-    days = (
-        kept.groupBy("trip_date")
-        .agg(
-            F.count(F.lit(1)).alias("daily_trips"),
-            F.sum("total_amount").alias("daily_revenue"),
-            F.avg("trip_distance").alias("avg_distance"),
-        )
-        .orderBy("trip_date")
-        .limit(limit)
+    day, measures = ["trip_date"], {"total": F.col("total_amount"), "distance": F.col("trip_distance")}
+    parts = range_parts(kept, day, "fare_amount", measures)
+    days = parts.groupBy(*day).agg(
+        rows_total().alias("daily_trips"), sum_of("total").alias("daily_revenue"), mean_of("distance").alias("avg_distance")
     )
-    return with_percentiles(days, kept, ["trip_date"], "fare_amount", {"median_fare": 0.5})
+    days = days.orderBy("trip_date").limit(limit)
+    return add_percentiles(days, parts, kept, day, "fare_amount", {"median_fare": 0.5})
