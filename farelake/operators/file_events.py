@@ -48,17 +48,14 @@ def execution_name(files: DataFrame, ts: str = "event_time") -> DataFrame:
     return files.withColumn("execution_name", F.concat(F.lit("etl-"), stamp, F.lit("-"), stem))
 
 
-def dedup_executions(files: DataFrame, ts: str = "event_time", watermark: str = "1 hour") -> DataFrame:
-    """Accepted files, once per bucket, full key and second of the event; a redelivery starts nothing new.
+def dedup_executions(files: DataFrame, ts: str = "event_time") -> DataFrame:
+    """Accepted files, once per bucket, full key and second of the event, with the earliest time of that second.
 
-    ``execution_name`` is a label only: different files may share it. A batch looks at all rows and keeps the earliest
-    time of a second. A stream keeps the first notification and forgets it once the watermark has passed.
+    ``execution_name`` is a label only: different files may share it. For a stream see ``streaming.executions``, which
+    applies this to every batch and remembers what it has started.
     """
     accepted = execution_name(route_events(files).where("reject_reason IS NULL"), ts)
     slim = accepted.select("execution_name", "bucket", "key", F.col(ts).cast("timestamp").alias(ts))
-    slim = slim.withColumn("_second", F.date_trunc("second", ts))
-    same = ["bucket", "key", "_second"]
-    if files.isStreaming:
-        return slim.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(same).drop("_second")
-    once = slim.groupBy(*same).agg(F.first("execution_name").alias("execution_name"), F.min(ts).alias(ts))
+    same = ["bucket", "key", F.date_trunc("second", ts).alias("_second")]
+    once = slim.groupBy(*same).agg(F.min_by("execution_name", ts).alias("execution_name"), F.min(ts).alias(ts))
     return once.select("execution_name", "bucket", "key", ts)

@@ -10,15 +10,14 @@ from ..operators import quality as q
 from ..operators import star as s
 from ..operators.cleaning import clean_ingest, drop_null_critical, raw_to_processed
 from ..operators.curated import curated_trips, fact_projection, payment_analysis_daily, table_counts
-from ..operators.file_events import dedup_executions
 from ..plans import runs, views
 from ..plans.star_queries import catalog_month_agg
 from ..registry import query
 from ..session import scratch_dir
 from ..sources import given_tables as given
 from ..sources import zones as z
-from ..streaming import ingest
-from ..streaming.windows import windowed_counts, with_open_windows
+from ..streaming import executions, ingest, windows
+from ..streaming.windows import windowed_counts
 
 CLOCK = ("quality_check_timestamp", "processed_at", "processed_timestamp", "failed_at")
 YEAR, MONTH = 1998, 3
@@ -262,18 +261,36 @@ def _windowed_stream(spark, sf_dir):
 
 @query("windowed_counts_stream_all")
 def _windowed_all(spark, sf_dir):
-    """Closed windows of the stream and what it has not reported: open windows and late events."""
-    closed = _windowed_stream(spark, sf_dir)
-    return with_open_windows(closed, given.table(spark, sf_dir, "events"), "5 minutes")
+    """Every window of the stream: open and closed ones, and late events."""
+    root = scratch_dir(spark, "window_counts")
+    windows.count_windows(_event_stream(spark, sf_dir), root, scratch_dir(spark, "checkpoint"))
+    return windows.window_report(spark, root)
+
+
+def _deliveries(spark, events, *conditions):
+    """The events in so many files folders as conditions, and a stream that takes them one after the other."""
+    source = scratch_dir(spark, "deliveries")
+    for condition in conditions:
+        events.where(condition).write.mode("append").parquet(source)
+        yield ingest.new_files(spark, source, events.schema)
+
+
+@query("windowed_counts_stream_late")
+def _windowed_late(spark, sf_dir):
+    """Every seventh event is delivered after all others, so most of these are late."""
+    root, checkpoint = scratch_dir(spark, "window_counts"), scratch_dir(spark, "checkpoint")
+    events = given.table(spark, sf_dir, "events")
+    for stream in _deliveries(spark, events, "event_id % 7 != 0", "event_id % 7 = 0"):
+        windows.count_windows(stream, root, checkpoint)
+    return windows.window_report(spark, root)
 
 
 @query("dedup_executions_stream")
 def _dedup_stream(spark, sf_dir):
-    """Every notification arrives again in a second batch."""
-    source = scratch_dir(spark, "notifications")
+    """Every notification is delivered a second time, and every seventh one for the first time then, late."""
+    root, checkpoint = scratch_dir(spark, "started"), scratch_dir(spark, "checkpoint")
     events = given.table(spark, sf_dir, "events")
-    for _ in range(2):
-        events.coalesce(1).write.mode("append").parquet(source)
-    stream = ingest.new_files(spark, source, events.schema, files_per_batch=1)
-    files = stream.selectExpr(*[f"{text} AS {name}" for name, text in given.FILE_EVENT_EXPRESSIONS.items()])
-    return _closed(spark, dedup_executions(files, watermark="1000 days"), "executions")
+    for stream in _deliveries(spark, events, "event_id % 7 != 0", "true"):
+        files = stream.selectExpr(*[f"{text} AS {name}" for name, text in given.FILE_EVENT_EXPRESSIONS.items()])
+        executions.start_executions(files, root, checkpoint)
+    return executions.executions(spark, root).drop("late")

@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 LOG = "_log"
 DIGITS = 12
@@ -80,6 +82,31 @@ class CommitLog:
             raise
 
 
+def ddl(schema: StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
+def commit_attempt(
+    log: CommitLog, df: DataFrame, run_id: str, keys: list[str], note: Callable[[DataFrame], dict], extra: dict | None = None,
+    clustered: bool = False,
+) -> dict:
+    """Write ``df`` (column ``sink`` and further partition ``keys``) into an attempt folder in one job and commit it.
+
+    ``note`` looks at the rows written and returns what the record says beside its rows per sink, its folder and schema.
+    """
+    spark, folder = log.spark, f"run_id={run_id}/attempt={uuid.uuid4().hex}"
+    keys = ["sink", *keys]
+    path = f"{log.root}/attempts/{folder}"
+    (df if clustered else df.hint("rebalance", *keys)).write.partitionBy(*keys).parquet(path)
+    fields = [f for f in df.schema.fields if f.name not in keys] + [df.schema[k] for k in keys]
+    schema = StructType(fields).add("run_id", "string").add("attempt", "string")
+    written = spark.read.schema(schema).option("basePath", f"{log.root}/attempts").parquet(path)
+    counts = {r["sink"]: r["count"] for r in written.groupBy("sink").count().collect()}
+    record = {"run_id": run_id, "folder": folder, "counts": counts, "schema": ddl(schema)} | note(written) | (extra or {})
+    log.append(record)
+    return record
+
+
 def newest(records: list[dict], key: str) -> dict:
     """The last record of each value of ``key``: a repeated run replaces what it committed before."""
     return {r[key]: r for r in records}

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .commits import CommitLog, newest, read_attempts
+from .commits import CommitLog, commit_attempt, newest, read_attempts
 
 # What a crawled trip table has to look like.
 EXPECTED_COLUMNS = 19
@@ -115,29 +113,16 @@ def write_outcomes(judged: DataFrame, root: str, run_id: str, sinks: dict[str, C
     what was written and not from a second look at the input. One write goes into an attempt folder of its own, one record makes
     it current: a run that dies before has no rows anywhere, one that is repeated replaces its rows in every sink.
     """
-    spark, log = judged.sparkSession, CommitLog(judged.sparkSession, root)
     sink = F.coalesce(*[F.when(condition, F.lit(name)) for name, condition in sinks.items()], F.lit(SKIPPED))
     marked = judged.withColumn("sink", sink).withColumn("failed_at", F.when(F.col("sink") == REJECTED, F.current_timestamp()))
     kept = [c for c in marked.columns if c not in ("sink", "outcome", "failed_at")]
     rows = marked.select(*[F.when(F.col("sink") != SKIPPED, F.col(c)).alias(c) for c in kept], "outcome", "failed_at", "sink")
-    keys = ["sink", *[c for c in EXPECTED_PARTITIONS if c in kept]]
-    folder = f"run_id={run_id}/attempt={uuid.uuid4().hex}"
-    path = f"{root.rstrip('/')}/attempts/{folder}"
-    (rows if clustered else rows.hint("rebalance", *keys)).write.partitionBy(*keys).parquet(path)
-    names = [f for f in rows.schema.fields if f.name not in keys] + [rows.schema[k] for k in keys]
-    schema = StructType(names).add("run_id", "string").add("attempt", "string")
-    written = spark.read.schema(schema).option("basePath", f"{root.rstrip('/')}/attempts").parquet(path)
-    found = written.groupBy("sink", "outcome").count().collect()
-    counts: dict[str, int] = {}
-    for r in found:
-        counts[r["sink"]] = counts.get(r["sink"], 0) + r["count"]
-    outcomes = {r["outcome"]: r["count"] for r in found}
-    log.append({"run_id": run_id, "folder": folder, "counts": counts, "outcomes": outcomes, "schema": _ddl(schema)})
-    return outcomes
-
-
-def _ddl(schema: StructType) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    keys = [c for c in EXPECTED_PARTITIONS if c in kept]
+
+    def outcomes(written: DataFrame) -> dict:
+        return {"outcomes": {r["outcome"]: r["count"] for r in written.groupBy("outcome").count().collect()}}
+
+    return commit_attempt(CommitLog(judged.sparkSession, root), rows, run_id, keys, outcomes, clustered=clustered)["outcomes"]
 
 
 def committed_runs(spark: SparkSession, root: str) -> dict[str, dict]:

@@ -122,6 +122,13 @@ ORACLES = {
         " FROM events GROUP BY 1",
         "window_start i:n i:late state",
     ),
+    "windowed_counts_stream_late": out(
+        f"SELECT window_start, count(*) AS n, count(*) FILTER (late) AS late, CASE WHEN window_start + INTERVAL 5 MINUTE"
+        " > (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE THEN 'open' WHEN bool_and(late) THEN 'late' ELSE 'closed' END AS state"
+        f" FROM (SELECT {BIN5} AS window_start, event_id % 7 = 0 AND {BIN5} + INTERVAL 5 MINUTE"
+        " <= (SELECT max(ts) FROM events WHERE event_id % 7 <> 0) - INTERVAL 10 MINUTE AS late FROM events) GROUP BY 1",
+        "window_start i:n i:late state",
+    ),
     "dedup_executions_stream": MONITORING["dedup_executions"].replace(
         "(FROM file_events UNION ALL SELECT * REPLACE (replace(key, 'raw/taxi/', 'raw/taxi/other/') AS key) FROM file_events)",
         "file_events",
