@@ -147,7 +147,8 @@ def refined_eigen(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.nda
         still = still + 1 if now < 1e-9 else 0
         if still == 2:  # the error is squared each time; twice, as a sub-solve may follow a correction that was already small
             break
-    x = x @ (1.5 * np.eye(size, dtype=x.dtype) - x.T @ x / 2)  # the last sub-solve is orthogonal in double precision only
+    for _ in range(2):  # the last sub-solve is orthogonal in double precision only
+        x = x @ (1.5 * np.eye(size, dtype=x.dtype) - x.T @ x / 2)
     values = (x * (wide @ x)).sum(0) / (x * x).sum(0)
     order = np.argsort(-values, kind="stable")
     x = x[:, order] / np.sqrt((x * x).sum(0))[order]

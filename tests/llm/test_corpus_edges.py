@@ -208,17 +208,14 @@ def test_rates_match_a_plain_solver(spark):
 
 
 def brute_top(rows, k, every):
-    clean = {}
-    for i, v in rows:
-        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v):
-            q = [int(np.floor(1024 * float(x))) for x in v]
-            clean[i] = min(clean.get(i, q), q)
+    """Every row for itself, also where ids repeat or are missing."""
+    fine = [(i, [int(np.floor(1024 * float(x))) for x in v]) for i, v in rows if v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = []
-    for i in clean:
-        if i % every == 0:
-            scores = sorted((-sum(a * b for a, b in zip(clean[i], v)), j) for j, v in clean.items() if j != i)
-            out += [(i, n + 1, j, -s) for n, (s, j) in enumerate(scores[:k])]
-    return sorted(out)
+    for a, (i, v) in enumerate(fine):
+        if i is not None and i % every == 0:
+            scores = sorted((-sum(x * y for x, y in zip(v, w)), j is None, j or 0) for b, (j, w) in enumerate(fine) if b != a)
+            out += [(i, n + 1, None if none else j, -s) for n, (s, none, j) in enumerate(scores[:k])]
+    return sorted(out, key=str)
 
 
 @pytest.mark.parametrize("n, nodes", [(400, 2), (400, 3), (4, 2), (0, 2)])
@@ -227,11 +224,11 @@ def test_search_against_brute_force(spark, n, nodes):
     rows = [(i, [float(np.float32(x)) for x in rng.normal(size=7)]) for i in range(n)]
     if n > 100:
         rows += [(1000 + i, rows[20][1]) for i in range(60)] + [(2000 + i, [0.0] * 7) for i in range(40)]
-        rows += [rows[5], (3000, None), (3010, [1.0, None] + [0.0] * 5), (3020, [float("nan")] * 7), (None, [1.0] * 7), (40, [9.0] * 7)]
+        rows += [rows[5], rows[50], rows[50], (3000, None), (3010, [1.0, None] + [0.0] * 5), (3020, [float("nan")] * 7), (None, [1.0] * 7), (40, [9.0] * 7)]
         rows += [(3030, [2.0, -1.0]), (3040, [])]
     df = common.ready(spark).createDataFrame([(i, v, 1, "x") for i, v in rows], "vec_id long, embedding array<float>, score int, q string")
     got = topk_search.exact_top_k(df, k=5, every=10, nodes=nodes).collect()
-    assert sorted(map(tuple, got)) == brute_top(rows, 5, 10)
+    assert sorted(map(tuple, got), key=str) == brute_top(rows, 5, 10)
 
 
 def test_warc_edges(spark, tmp_path):
