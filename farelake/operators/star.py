@@ -49,22 +49,31 @@ def missing_locations(trips: DataFrame, dim: DataFrame | None = None) -> DataFra
     return ids.join(dim.select("location_id"), "location_id", "left_anti")
 
 
-def build_dim_location(trips: DataFrame, dim: DataFrame | None = None) -> DataFrame:
-    """Known zones plus a placeholder for every id not seen before (insert if absent)."""
-    dim = seed_locations(trips.sparkSession) if dim is None else dim
-    added = missing_locations(trips, dim).select(
+def unknown_locations(ids: DataFrame) -> DataFrame:
+    """Placeholders for zone ids that are not known."""
+    return ids.select(
         "location_id",
         F.lit("Unknown").alias("borough"),
         F.concat(F.lit("Location "), F.col("location_id")).alias("zone"),
         F.lit("Unknown").alias("service_zone"),
     )
-    return dim.unionByName(added)
+
+
+def build_dim_location(trips: DataFrame, dim: DataFrame | None = None) -> DataFrame:
+    """Known zones plus a placeholder for every id not seen before (insert if absent)."""
+    dim = seed_locations(trips.sparkSession) if dim is None else dim
+    return dim.unionByName(unknown_locations(missing_locations(trips, dim)))
 
 
 def time_id(ts: str | Column) -> Column:
     return F.unix_micros((F.col(ts) if isinstance(ts, str) else ts).cast("timestamp"))
 
 
+def pickup_month() -> Column:
+    """Month of a fact's ``time_id`` as yyyymm."""
+    return F.date_format(F.timestamp_micros("time_id"), "yyyyMM").cast("int")
+
+
 def build_dim_time(trips: DataFrame, dim: DataFrame | None = None) -> DataFrame:
     """One row per distinct pickup time; with ``dim`` only new times are added to it."""
     times = trips.select(F.col(PICKUP).alias("pickup_datetime")).dropna().distinct()

@@ -6,13 +6,14 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import cleaning, curated, quality, star
+from ..operators import bloom, cleaning, curated, quality, star
 from ..operators.profiling import sample_statistics
+from ..session import stored
 from ..sources import zones
+from ..sources.commits import CommitConflict, CommitLog
 from . import star_queries
 
 
@@ -55,56 +56,96 @@ STAR_TABLES = ("dim_location", "dim_time", "dim_rate", "fact_trips")
 
 
 def run_star(trips: DataFrame, root: str, load_id: str | None = None, enforce: bool = True) -> str:
-    """Extend the star schema by a load, all or nothing.
-
-    Zones and times that the current dimensions lack are inserted; facts whose trip is not there yet are added. Each
-    load has a folder of its own (whole dimensions, new facts only) and becomes visible with one appended commit record,
-    so a failure half-way leaves the loads before it in place and a load that is repeated adds nothing. With ``enforce``
-    a violated constraint stops the load, as it would stop the transaction.
+    """Extend the star schema by a load, all or nothing, at the cost of what it adds.
+
+    A load writes a folder of its own: the zones and times that the dimensions lack, and the facts whose trip (reference and
+    pickup time) is not there yet. Its commit record holds the range of its pickup times and where its Bloom filter of trips
+    lies, so a later load looks only at earlier ones whose times overlap with its own, and reads the facts of those only whose
+    filter has seen one of its trips. A repeated load adds nothing, a failed one leaves the loads before it in place. If
+    another load commits in between, the commit is refused and the load starts again from what is there then. With
+    ``enforce`` a violated constraint stops the load, as it would stop the transaction.
     """
-    spark = trips.sparkSession
-    load_id = load_id or new_run_id()
-    now = current_star(spark, root) if _commits(spark, root) is not None else {}
-    facts = star.build_fact_trips(trips)
-    if now:
-        facts = facts.join(now["fact_trips"].select("trip_id"), "trip_id", "left_anti")
-    tables = {
-        "dim_location": star.build_dim_location(trips, now.get("dim_location")),
-        "dim_time": star.build_dim_time(trips, now.get("dim_time")),
-        "dim_rate": star.build_dim_rate(spark),
-        "fact_trips": facts,
-    }
-    stored = {}
+    spark, load_id = trips.sparkSession, load_id or new_run_id()
+    log = CommitLog(spark, root)
+    facts = stored(star.build_fact_trips(trips), "facts")
+    times = stored(star.build_dim_time(trips), "times")
+    zones_seen = stored(star.missing_locations(trips), "zones_seen")
+    while True:
+        version = log.version
+        try:
+            log.append(_load(spark, root, load_id, log.records(version), facts, times, zones_seen, enforce), expected=version)
+            return load_id
+        except CommitConflict:
+            continue
+
+
+def _load(
+    spark: SparkSession, root: str, load_id: str, records: list[dict], facts: DataFrame, times: DataFrame, zones_seen: DataFrame,
+    enforce: bool,
+) -> dict:
+    """Write what the loads in ``records`` lack and return the record of the load."""
+    folder = f"{root.rstrip('/')}/loads/{load_id}/{uuid.uuid4().hex}"
+    low, high = times.agg(F.min("time_id"), F.max("time_id")).first()
+    near = [r for r in records if r["rows"]["dim_time"] and low is not None and r["low"] <= high and low <= r["high"]]
+    now = _tables(spark, records)
+    found = _loads_that_may_hold(spark, facts, near)
+    if found:
+        known = spark.read.parquet(*[f"{r['folder']}/fact_trips" for r in found]).where(F.col("time_id").between(low, high))
+        facts = facts.join(known.select("trip_id", "time_id"), ["trip_id", "time_id"], "left_anti")
+    if near:
+        # times of loads that do not overlap cannot be among the new ones
+        known = spark.read.parquet(*[f"{r['folder']}/dim_time" for r in near]).where(F.col("time_id").between(low, high))
+        times = times.join(known.select("time_id"), "time_id", "left_anti").select(*times.columns)
+    if records:
+        unseen = zones_seen.join(now["dim_location"].select("location_id"), "location_id", "left_anti")
+        places = star.unknown_locations(unseen)
+    else:
+        places = star.seed_locations(spark).unionByName(star.unknown_locations(zones_seen))
+    rates = star.build_dim_rate(spark)
+    tables = {"dim_location": places, "dim_time": times, "dim_rate": rates.limit(0) if records else rates}
     for name, df in tables.items():
-        path = f"{root}/loads/{load_id}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        stored[name] = spark.read.parquet(path)
+        df.write.parquet(f"{folder}/{name}")
+    # a month together and in the order of time, so that a later load skips row groups of other times
+    by_month = facts.withColumn("month", star.pickup_month()).hint("rebalance", "month").sortWithinPartitions("time_id")
+    by_month.drop("month").write.parquet(f"{folder}/fact_trips")
+    added = spark.read.schema(facts.schema).parquet(f"{folder}/fact_trips")
+    rows = {name: spark.read.schema(df.schema).parquet(f"{folder}/{name}").count() for name, df in tables.items()}
+    rows["fact_trips"] = added.count()
+    bits = bloom.size(rows["fact_trips"])
+    bloom.build(added, TRIP, bits).write.parquet(f"{folder}/bloom")
+    record = {"load_id": load_id, "folder": folder, "rows": rows, "low": low, "high": high, "bits": bits}
     if enforce:
         # Checked on the stored tables: every one of them was computed once.
-        broken = star.constraint_check(
-            stored["fact_trips"], stored["dim_time"], stored["dim_location"], stored["dim_rate"]
-        ).where("violations > 0")
-        found = [f"{r['constraint']}: {r['violations']}" for r in broken.collect()]
-        if found:
-            raise ValueError(f"load {load_id} violates {', '.join(sorted(found))}")
-    spark.range(1).select(
-        F.lit(load_id).alias("load_id"), F.current_timestamp().alias("committed_at")
-    ).write.mode("append").parquet(f"{root}/commits")
-    return load_id
+        whole = _tables(spark, [*records, record])
+        broken = star.constraint_check(added, whole["dim_time"], whole["dim_location"], whole["dim_rate"]).where("violations > 0")
+        faults = [f"{r['constraint']}: {r['violations']}" for r in broken.collect()]
+        if faults:
+            raise ValueError(f"load {load_id} violates {', '.join(sorted(faults))}")
+    return record
 
 
-def current_star(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """Dimensions of the newest committed load and the facts of all committed loads."""
-    loads = [r.load_id for r in _commits(spark, root).orderBy("committed_at").select("load_id").collect()]
-    tables = {t: spark.read.parquet(f"{root}/loads/{loads[-1]}/{t}") for t in STAR_TABLES[:-1]}
-    return tables | {"fact_trips": spark.read.parquet(*[f"{root}/loads/{x}/fact_trips" for x in dict.fromkeys(loads)])}
+TRIP = ["trip_id", "time_id"]
+
 
+def _loads_that_may_hold(spark: SparkSession, facts: DataFrame, records: list[dict]) -> list[dict]:
+    """Of the given loads those whose filter has seen one of the facts' trips."""
+    return [r for r in records if r["rows"]["fact_trips"] and bloom.may_hold(facts, TRIP, spark.read.parquet(f"{r['folder']}/bloom"), r["bits"])]
 
-def _commits(spark: SparkSession, root: str) -> DataFrame | None:
-    try:
-        return spark.read.schema("load_id string, committed_at timestamp").parquet(f"{root}/commits")
-    except AnalysisException:  # no load yet
-        return None
+
+def _tables(spark: SparkSession, records: list[dict]) -> dict[str, DataFrame]:
+    """All loads together: every load holds what it added to each table."""
+    if not records:
+        return {}
+    tables = {}
+    for t in STAR_TABLES:
+        filled = [r for r in records if r["rows"][t]] or records[:1]
+        tables[t] = spark.read.parquet(*[f"{r['folder']}/{t}" for r in filled])
+    return tables
+
+
+def current_star(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """Dimensions and facts of all committed loads."""
+    return _tables(spark, CommitLog(spark, root).records())
 
 
 def star_questions(spark: SparkSession, root: str) -> dict[str, DataFrame]:

@@ -10,6 +10,7 @@ from farelake.plans import runs
 from farelake.session import scratch_dir
 from farelake.sources import given_tables as given
 from farelake.sources import zones as z
+from farelake.sources.commits import CommitLog
 from farelake.streaming import ingest
 from farelake.streaming.windows import windowed_counts
 
@@ -189,3 +190,52 @@ def test_stream_windows_are_final_and_equal_batch(spark, tmp_path):
     batch = {r.window_start: r.n for r in windowed_counts(events, "1 hour").collect()}
     assert got and all(batch[k] == n for k, n in got.items())
     assert set(batch) - set(got) <= {max(batch), sorted(batch)[-2]}
+
+
+def test_a_load_of_other_times_reads_no_older_fact(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    good = c.raw_to_processed(given.trips(spark, SF))
+    cut = "tpep_pickup_datetime < '1998-01-01'"
+    runs.run_star(good.where(cut), root)
+    looked_at = []
+    inner = runs.bloom.may_hold
+    monkeypatch.setattr(runs.bloom, "may_hold", lambda *a: looked_at.append(a) or inner(*a))
+    runs.run_star(good.where(f"NOT {cut}"), root)
+    assert not looked_at  # the range of pickup times rules the first load out
+    runs.run_star(good.where("VendorID = 1"), root)  # overlaps with both, and holds nothing new
+    assert len(looked_at) == 2
+    records = CommitLog(spark, root).records()
+    assert records[2]["rows"] == {"dim_location": 0, "dim_time": 0, "dim_rate": 0, "fact_trips": 0}
+    assert sum(r["rows"]["fact_trips"] for r in records) == runs.current_star(spark, root)["fact_trips"].count()
+
+
+def test_a_load_between_known_ones_is_ruled_out_by_its_filter(spark, tmp_path):
+    good = c.raw_to_processed(given.trips(spark, SF))
+    runs.run_star(good.where("VendorID = 1"), str(tmp_path))
+    record = CommitLog(spark, str(tmp_path)).records()[0]
+    mine = s.build_fact_trips(good.where("VendorID = 1")).limit(1)
+    other = s.build_fact_trips(good.where("VendorID = 2")).limit(5)
+    assert runs._loads_that_may_hold(spark, mine, [record]) == [record]
+    assert runs._loads_that_may_hold(spark, other, [record]) == []
+
+
+def test_of_two_racing_loads_one_wins_and_one_starts_again(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    good = c.raw_to_processed(given.trips(spark, SF)).where("tpep_pickup_datetime < '1996-01-01'")
+    inner, tries = runs._load, []
+
+    def slow(*args):
+        tries.append(args[2])
+        record = inner(*args)
+        if len(tries) == 1:  # another load commits while the first is at work
+            runs.run_star(good.where("VendorID = 2"), root, "second")
+        return record
+
+    monkeypatch.setattr(runs, "_load", slow)
+    runs.run_star(good, root, "first")
+    assert tries == ["first", "second", "first"]
+    assert [r["load_id"] for r in CommitLog(spark, root).records()] == ["second", "first"]
+    whole = runs.current_star(spark, root)
+    assert whole["fact_trips"].count() == whole["fact_trips"].select("trip_id").distinct().count() == s.build_fact_trips(good).count()
+    assert whole["dim_time"].count() == whole["dim_time"].distinct().count()
+    assert whole["dim_location"].count() == whole["dim_location"].select("location_id").distinct().count()
