@@ -26,10 +26,8 @@ from .common import bounded_sample, map_batches, remainder, stored
 
 STRIP = string.punctuation + string.digits + "«»¿¡…–—“”‘’"  # fixed value: what is cut from the ends of a word
 BEGINNINGS = (3, 4, 5, 6)
-MOST_PATTERNS = 4096
 WORD_VOTERS = 4  # voters that share the word patterns; each beginning length has two of its own
 VOTERS = WORD_VOTERS + 2 * len(BEGINNINGS) + 2
-EVIDENCE = 14.0  # least log-likelihood gain of a pattern: beyond chance among a million candidates
 _SHOUT = re.compile(r"\b[A-Z]{4,}\b")
 _MARKS = re.compile(r"!{2,}")
 
@@ -39,10 +37,14 @@ def patterns_of(word: str) -> list[str]:
     return ["=" + word, *("^" + word[:k] for k in BEGINNINGS if len(word) >= k)] if word else []
 
 
-def mine_patterns(docs: DataFrame, labels: dict[int, int], precision: float = 0.9) -> list[tuple[str, int, int]]:
+def mine_patterns(
+    docs: DataFrame, labels: dict[int, int], precision: float = 0.9, least: int = 3, evidence: float | None = None, most: int = 4096
+) -> list[tuple[str, int, int]]:
     """Patterns with their toxic and other document counts over the labelled rows, strongest first.
 
-    A pattern must go with the toxic label beyond chance and at least in ``precision`` of its documents.
+    A pattern must go with the toxic label in ``least`` documents, in ``precision`` of all its documents, and beyond chance: by
+    a log-likelihood gain of ``evidence``, by default the logarithm of the number of candidates, so that few are expected by
+    chance however many labels there are. At most ``most`` are kept.
     """
 
     def count(rows):
@@ -55,14 +57,15 @@ def mine_patterns(docs: DataFrame, labels: dict[int, int], precision: float = 0.
         return {"pattern": names, "toxic": [toxic[p] for p in names], "other": [other[p] for p in names]}
 
     found = map_batches(docs.select("doc_id", "text"), "pattern string, toxic long, other long", count)
-    found = found.groupBy("pattern").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
+    found = stored(found.groupBy("pattern").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")), "patterns")
+    evidence = math.log(max(found.count(), 1)) if evidence is None else evidence
     positive = sum(1 for v in labels.values() if v)
     rate = min(max(positive / max(len(labels), 1), 1e-6), 1 - 1e-6)
     n = F.col("toxic") + F.col("other")
     share = F.col("toxic") / n
     gain = F.col("toxic") * F.log(share / rate) + F.when(F.col("other") > 0, F.col("other") * F.log((1 - share) / (1 - rate))).otherwise(0.0)
-    best = found.where((F.col("toxic") >= 3) & (share >= precision) & (gain >= EVIDENCE))
-    rows = best.orderBy(gain.desc(), "pattern").limit(MOST_PATTERNS).collect()
+    best = found.where((F.col("toxic") >= least) & (share >= precision) & (gain >= evidence))
+    rows = best.orderBy(gain.desc(), "pattern").limit(most).collect()
     return [(r.pattern, r.toxic, r.other) for r in rows]
 
 
@@ -191,8 +194,8 @@ class ToxicityModel:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, odds))))
 
 
-def learn_toxicity(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> ToxicityModel:
-    """Fit on at most ``sample`` labelled ids, chosen by a hash of the id, and on the votes of all documents.
+def learn_toxicity(docs: DataFrame, labels: DataFrame, sample: int = 20_000, **mining) -> ToxicityModel:
+    """``mining`` are settings of ``mine_patterns``. Fit on at most ``sample`` labelled ids, chosen by a hash of the id, and on the votes of all documents.
 
     Of repeated labelled rows one counts; what an id with several texts sends to the driver is one count per kind of vote.
     ``labels`` (doc_id, toxic) must hold learning rows only. A document labelled twice is toxic if either label is.
@@ -204,7 +207,7 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, sample: int = 20_000) ->
     ids = docs.sparkSession.createDataFrame([(int(i),) for i in known], "doc_id long")
     # each labelled text once, however often its row repeats
     learned = stored(texts.join(F.broadcast(ids), "doc_id", "left_semi").distinct(), "labelled_texts")
-    voters = Voters([p for p, _, _ in mine_patterns(learned, known)])
+    voters = Voters([p for p, _, _ in mine_patterns(learned, known, **mining)])
 
     def vote(rows):
         counts = Counter(voters.mask(t or "", voters.found(t or "")) for t in rows["text"])
