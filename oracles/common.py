@@ -2,24 +2,13 @@
 
 from __future__ import annotations
 
-from farelake.sources.given_tables import (
-    FILE_EVENT_EXPRESSIONS,
-    LOG_EXPRESSIONS,
-    METRIC_EXPRESSIONS,
-    TOTAL,
-    trip_expressions,
-)
-
-
-def _items(expressions: dict[str, str]) -> str:
-    return ", ".join(f"{text} AS {name}" for name, text in expressions.items())
-
+from .given import FILE_EVENT_COLUMNS, LOG_COLUMNS, METRIC_COLUMNS, TOTAL, TRIP_COLUMNS
 
 TRIPS = (
     "trips AS (SELECT *, "
     + TOTAL
     + " AS total_amount FROM (SELECT "
-    + _items(trip_expressions(lambda e: f"l_shipdate + to_seconds(cast({e} AS int))"))
+    + TRIP_COLUMNS
     + " FROM lineitem))"
 )
 CURATED = TRIPS + (
@@ -29,9 +18,9 @@ CURATED = TRIPS + (
     " DOLocationID AS dropoff_location_id, payment_type, fare_amount, extra, mta_tax, tip_amount,"
     " tolls_amount, improvement_surcharge, total_amount, congestion_surcharge, airport_fee FROM trips)"
 )
-LOGS = f"logs AS (SELECT {_items(LOG_EXPRESSIONS)} FROM events)"
-FILE_EVENTS = f"file_events AS (SELECT {_items(FILE_EVENT_EXPRESSIONS)} FROM events)"
-METRICS = f"metrics AS (SELECT {_items(METRIC_EXPRESSIONS)} FROM events)"
+LOGS = f"logs AS (SELECT {LOG_COLUMNS} FROM events)"
+FILE_EVENTS = f"file_events AS (SELECT {FILE_EVENT_COLUMNS} FROM events)"
+METRICS = f"metrics AS (SELECT {METRIC_COLUMNS} FROM events)"
 WEATHER = (
     "weather AS (SELECT cast(o_orderdate AS date) AS date, min(o_orderpriority) AS weather_condition,"
     " cast(30+day(min(o_orderdate))%60 AS int) AS temperature_f,"
