@@ -275,51 +275,6 @@ def dataset_gate(trips: DataFrame, min_rows: int = 1000) -> DataFrame:
     return measured.select(passed.alias("passed"), F.inline(findings))
 
 
-# The declarative rules of the trip table, as (kind, column, comparison, bound).
-TRIP_RULESET = (
-    ("RowCount", None, ">", 0),
-    ("IsComplete", PICKUP, None, None),
-    ("IsComplete", DROPOFF, None, None),
-    ("ColumnValues", "passenger_count", ">=", 0),
-    ("ColumnValues", "trip_distance", ">=", 0),
-    ("ColumnValues", "fare_amount", ">=", 0),
-)
-
-_COMPARE = {
-    ">": lambda a, b: a > b,
-    ">=": lambda a, b: a >= b,
-    "<": lambda a, b: a < b,
-    "<=": lambda a, b: a <= b,
-    "=": lambda a, b: a == b,
-}
-
-
-def ruleset_eval(trips: DataFrame, rules=TRIP_RULESET) -> DataFrame:
-    """Evaluate declarative rules in one aggregate: (rule, failing, outcome).
-
-    A value that is NULL does not satisfy a ColumnValues rule.
-    """
-    labels, failing = [], []
-    for kind, column, op, bound in rules:
-        if kind == "RowCount":
-            labels.append(f"RowCount {op} {bound}")
-            met = _COMPARE[op](F.count(F.lit(1)), F.lit(bound))
-            failing.append(F.when(met, 0).otherwise(1).cast("long"))
-        elif kind == "IsComplete":
-            labels.append(f"IsComplete {column}")
-            failing.append(F.count_if(F.col(column).isNull()))
-        elif kind == "ColumnValues":
-            labels.append(f"ColumnValues {column} {op} {bound}")
-            met = F.coalesce(_COMPARE[op](F.col(column), F.lit(bound)), F.lit(False))
-            failing.append(F.count_if(~met))
-        else:
-            raise ValueError(f"unknown rule {kind!r}")
-    counts = trips.agg(*[c.alias(label) for label, c in zip(labels, failing)])
-    return _rows(counts, labels, "rule", "failing").withColumn(
-        "outcome", F.when(F.col("failing") == 0, "Passed").otherwise("Failed")
-    )
-
-
 def manifest_check(files: DataFrame, listing: DataFrame | None = None) -> DataFrame:
     """Per arrived file: required fields, prefix, extension, size, existence -> verdict and message.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from ..operators import cleaning as c
 from ..operators import curated as cu
 from ..operators import quality as q
+from ..operators.rulesets import ruleset_eval
 from ..registry import query
 from ..sources import given_tables as given
 
@@ -36,7 +37,7 @@ for _f in (
     c.cleaning_issues,
     c.cleaning_summary,
     q.dataset_gate,
-    q.ruleset_eval,
+    ruleset_eval,
 ):
     _on(_trips, _f.__name__, _f)
 
