@@ -37,7 +37,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near copies: the smallest by id, then by a hash of the text.
 
-    Near copies share 0.8 or more of their five-word shingles (Jaccard), all such pairs link. Different texts under one id
+    Near copies share 0.8 or more of their five-word shingles (Jaccard), all such pairs link: those that SimHash (2) proposes, and
+    by an exact search the ones whose fingerprints lie further apart. Different texts under one id
     are documents of their own; of repeated rows one stays, the same in every run. Rows without id cannot stand for a
     group and stay as they are. Texts without words, NULL ones among them, are copies of each other. Further columns stay as
     they are, whatever their names; an empty table stays empty.

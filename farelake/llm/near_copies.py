@@ -1,12 +1,16 @@
-"""Near copies by exact similarity of word-shingle sets.
+"""Near copies by SimHash and exact similarity of word-shingle sets.
 
-Method: two sets with a Jaccard similarity of 4/5 or more share one of their first n/5 + 1 shingles under any common
+Method: the search of ``simhash`` (fingerprints of five-word shingles, partitions of correlated bits, thresholds by dynamic
+programming) proposes pairs of texts within ``RADIUS`` bits, and those with a Jaccard similarity of 4/5 or more are linked. As
+some similar texts have fingerprints further apart, an exact search follows for what then still lies in different components.
+
+Exact search: two sets with a Jaccard similarity of 4/5 or more share one of their first n/5 + 1 shingles under any common
 order (pigeonhole), so each set is indexed under these only. The order puts shingles that a bounded sample of documents
 holds often last, then goes by hash; it decides the work, not the result. Of sets that meet, those go on whose histograms
 of shingle hashes overlap far enough, which no similar pair fails; the rest are verified on their whole texts. Members of a
-shingle's bucket are first held against a few leaders, in two rounds with different ones; whatever then still lies in
-different components is compared in pairs, so no similar pair is left out and a large group of copies is not listed pair by
-pair.
+shingle's bucket are first held against a few leaders, in rounds with different ones, until few pairs of different components
+are left or a round links nothing; these pairs are all compared, so no similar pair is left out and a large group of copies is
+not listed pair by pair.
 
 Equal sets are joined to one before the search. What reaches the driver is bounded: at most ``HOT`` frequent shingles.
 """
@@ -25,13 +29,19 @@ from pyspark.sql import functions as F
 from ..operators.joins import checked_broadcast
 from .common import map_batches, stored
 from .graph import components
+from .simhash import fingerprint, link_fingerprints
 from .substring_dedup import WordHashes
 
 WORDS = 5
 # At the first shingle that both share, what is left of either set must reach 4/9 of both sizes. In the rounds with leaders
 # this leaves pairs out that meet at a later one; the last round sees all of them.
 _REACHES = "5 * least({0}, {2}) >= 4 * greatest({0}, {2}) AND 9 * least({0} - {1}, {2} - {3}) >= 4 * ({0} + {2})"
+RADIUS = 6  # bits in which the fingerprints of proposed pairs differ at most
 LEADERS = 3  # leaders that a set is held against in a round; what they miss is left to the next rounds
+CROWD = 32  # members of a bucket that goes on to further rounds, with leaders of its own
+MORE_LEADERS = 32  # in these a set outside the bucket's largest component is held against so many,
+SLOTS = 16  # and a bucket has so many of them
+MORE_ROUNDS = 10  # at most so many of these; the pairs they leave are compared after them
 HOT = 300_000  # frequent shingles that every task knows
 SAMPLE = 100_000  # documents that are searched for frequent shingles
 
@@ -126,13 +136,39 @@ def _one_per_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.take(pa.array(fresh, pa.int64()))
 
 
+def _proposed(sets: DataFrame, radius: int) -> DataFrame:
+    """Pairs (a, b) of sets whose fingerprints differ in ``radius`` bits or fewer: a forest over all such pairs."""
+    classes = stored(sets.groupBy("fp").agg(F.min("set_key").alias("first")), "fingerprint_classes")
+    equal = sets.join(classes, "fp").where("set_key != first").select(F.col("first").alias("a"), F.col("set_key").alias("b"))
+    near = stored(link_fingerprints(classes, radius, direct=True).distinct(), "fingerprint_links")
+    ends = (classes.select(F.col("fp").alias(end), F.col("first").alias(f"set_{end}")) for end in ("a", "b"))
+    for end in ends:
+        near = near.join(end, end.columns[0])
+    near = near.select(F.least("set_a", "set_b").alias("a"), F.greatest("set_a", "set_b").alias("b"))
+    return equal.unionByName(near)
+
+
+def _crowded(left: DataFrame) -> DataFrame:
+    """Buckets of ``CROWD`` members or more: their largest component and the pairs that lie in different ones."""
+    each = left.groupBy("token", "root").agg(F.count("*").alias("n"))
+    square = F.col("n").cast("double") * F.col("n")
+    of = each.groupBy("token").agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("rows"), F.sum(square).alias("same"))
+    apart = (F.col("rows").cast("double") * F.col("rows") - F.col("same")) / 2
+    return of.where(f"rows >= {CROWD}").select("token", F.col("main.root").alias("main"), "rows", apart.alias("apart"))
+
+
 def _open(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Members with the root of their component under ``links``, of the buckets that hold more than one component."""
+    """Members with the root of their component under ``links``, of the buckets that hold more than one component.
+
+    Members too far down to reach even the smallest set of their bucket meet nobody there and are left out.
+    """
     roots = components(links)
+    members = members.select("token", "at", "set_key", "n")
     rooted = members.join(roots, members["set_key"] == roots["node"], "left")
     rooted = stored(rooted.select("token", "at", "set_key", "n", F.coalesce("root", "set_key").alias("root")), "rooted")
-    mixed = rooted.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("token")
-    return stored(rooted.join(stored(mixed, "mixed"), "token"), "open")
+    mixed = rooted.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min("n").alias("least"))
+    mixed = stored(mixed.where("r0 < r1").select("token", "least"), "mixed")
+    return stored(rooted.join(mixed, "token").where("9 * (n - at) >= 4 * (n + least)").drop("least"), "open")
 
 
 def near_copies(docs: DataFrame, words: int = WORDS, rounds: int = 2) -> DataFrame:
@@ -148,7 +184,7 @@ def near_copies(docs: DataFrame, words: int = WORDS, rounds: int = 2) -> DataFra
         token, count = often.value
         seen: set[int] = set()  # sets whose prefix this task has sent
         for batch in batches:
-            keys, sizes, counts, rare, prefixes = [], [], [], [], []
+            keys, sizes, counts, prints, rare, prefixes = [], [], [], [], [], []
             for t in batch.column("text").to_pylist():
                 s = shingle_set(t, words)
                 key = int(np.uint64(xxhash.xxh64_intdigest(s.tobytes())).astype(np.int64))
@@ -157,6 +193,7 @@ def near_copies(docs: DataFrame, words: int = WORDS, rounds: int = 2) -> DataFra
                 new = key not in seen
                 seen.add(key)
                 counts.append(histogram(s).tobytes() if new else None)
+                prints.append(fingerprint(t, words) if new else None)
                 if not new or not len(s):
                     rare.append(0)
                     prefixes.append(None)
@@ -170,15 +207,16 @@ def near_copies(docs: DataFrame, words: int = WORDS, rounds: int = 2) -> DataFra
                 prefixes.append(s[first].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_key"), pa.array(keys, pa.int64()), pa.array(sizes, pa.int32()),
-                 pa.array(counts, pa.binary()), pa.array(rare, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))],
-                names=["doc_id", "text_key", "set_key", "n", "counts", "rare", "prefix"],
+                 pa.array(counts, pa.binary()), pa.array(prints, pa.int64()), pa.array(rare, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))],
+                names=["doc_id", "text_key", "set_key", "n", "counts", "fp", "rare", "prefix"],
             )
 
-    schema = "doc_id long, text_key long, set_key long, n int, counts binary, rare int, prefix array<long>"
+    schema = "doc_id long, text_key long, set_key long, n int, counts binary, fp long, rare int, prefix array<long>"
     prints = stored(texts.mapInArrow(index, schema), "shingle_sets")
     owner = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("of")
-    sets = prints.groupBy("set_key").agg(owner, F.max("counts").alias("counts"))
-    sets = stored(sets.select("set_key", "of.doc_id", "of.text_key", "counts"), "sets")
+    sets = prints.groupBy("set_key").agg(owner, F.max("counts").alias("counts"), F.max("fp").alias("fp"))
+    sets = stored(sets.select("set_key", "of.doc_id", "of.text_key", "counts", "fp"), "sets")
+    links = _verified(_proposed(sets, RADIUS), sets, texts, words)
 
     # shingles that are frequent in the sample are taken as shared, so only the others meet in one task to be counted
     each = prints.where("prefix IS NOT NULL").select("set_key", "n", "rare", F.posexplode("prefix").alias("at", "token"))
@@ -186,19 +224,32 @@ def near_copies(docs: DataFrame, words: int = WORDS, rounds: int = 2) -> DataFra
     both = shared.select("token", "at", "set_key", "n").unionByName(each.where("at >= rare").select("token", "at", "set_key", "n"))
     members = stored(both.distinct(), "members")
 
-    links, left = None, members
-    for turn in range(rounds):
-        key = F.struct(F.xxhash64("set_key", F.lit(turn)), F.col("set_key"), F.col("n"), F.col("at"))
-        lead = left.groupBy("token").agg(F.min(key).alias("l"), F.count("*").alias("many")).where("many > 1")
-        lead = stored(lead.select("token", F.col("l.set_key").alias("lead"), F.col("l.n").alias("lead_n"), F.col("l.at").alias("lead_at")), "leaders")
-        met = left.join(lead, "token").where(f"set_key != lead AND {_REACHES.format('n', 'at', 'lead_n', 'lead_at')}")
+    left, turn, many = _open(members, links), 0, LEADERS
+    while True:
+        pool, asks, slot, salt = left, left, F.lit(0), F.xxhash64("set_key", F.lit(turn))
+        if turn >= rounds:
+            crowd = stored(_crowded(left), "crowded")
+            rows, apart = crowd.agg(F.sum("rows"), F.sum("apart")).first()
+            if not rows or apart <= CROWD / 2 * rows or turn >= rounds + MORE_ROUNDS:
+                break
+            pool = left.join(crowd.select("token", "main"), "token")
+            asks = pool.where("root != main")
+            slot, many = F.pmod(F.xxhash64(F.lit(turn), "set_key"), F.lit(SLOTS)), MORE_LEADERS
+        key = F.struct(salt, F.col("set_key"), F.col("n"), F.col("at"), F.col("root"))
+        lead = pool.groupBy("token", slot.alias("slot")).agg(F.min(key).alias("l"))
+        names = {"set_key": "lead", "n": "lead_n", "at": "lead_at", "root": "lead_root"}
+        lead = stored(lead.select("token", *[F.col(f"l.{c}").alias(n) for c, n in names.items()]), "leaders")
+        met = asks.join(lead, "token").where(f"root != lead_root AND {_REACHES.format('n', 'at', 'lead_n', 'lead_at')}")
         # a set is held against the leaders it shares most with, so a large group costs a few pairs for each member
         met = met.groupBy("set_key", "lead").agg(F.count("*").alias("shared"))
         order = Window.partitionBy("set_key").orderBy(F.desc("shared"), F.xxhash64("lead", F.lit(turn)), "lead")
-        met = met.withColumn("turn", F.row_number().over(order)).where(f"turn <= {LEADERS}")
+        met = met.withColumn("turn", F.row_number().over(order)).where(f"turn <= {many}")
         found = _verified(met.select(F.least("set_key", "lead").alias("a"), F.greatest("set_key", "lead").alias("b")), sets, texts, words)
-        links = found if links is None else links.unionByName(found)
-        left = _open(members, links)
+        turn += 1
+        if turn > rounds and found.isEmpty():
+            break
+        links = links.unionByName(found)
+        left = _open(left, links)
     x, y = left.alias("x"), left.alias("y")
     met = x.join(y, "token").where(f"x.root != y.root AND x.set_key < y.set_key AND {_REACHES.format('x.n', 'x.at', 'y.n', 'y.at')}")
     found = _verified(met.select(F.col("x.set_key").alias("a"), F.col("y.set_key").alias("b")), sets, texts, words)

@@ -172,8 +172,26 @@ def _forest(links_a: np.ndarray, links_b: np.ndarray, n: int) -> np.ndarray:
         label = new
 
 
-def _verify(key: np.ndarray, fp: np.ndarray, role: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Forest edges (fp, fp) over the rows of one task; ``role`` bit 1: indexed, bit 2: probing."""
+def _spanning(a: np.ndarray, b: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the pairs (a, b) as many as join the components ``label`` in the same way, and the labels after that."""
+    kept, every = [], np.arange(len(label))
+    while len(a):
+        pair = np.arange(len(a))
+        _, first = np.unique(np.r_[label[a], label[b]], return_index=True)
+        pick = np.unique(np.r_[pair, pair][first])  # one pair for each component
+        kept.append(np.stack([a[pick], b[pick]]))
+        label = _forest(np.r_[every, a[pick]], np.r_[label, b[pick]], len(label))
+        apart = label[a] != label[b]
+        a, b = a[apart], b[apart]
+    kept = np.concatenate(kept, axis=1) if kept else np.zeros((2, 0), np.int64)
+    return kept[0], kept[1], label
+
+
+def _verify(key: np.ndarray, fp: np.ndarray, role: np.ndarray, radius: int, direct: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Forest edges (fp, fp) over the rows of one task; ``role`` bit 1: indexed, bit 2: probing.
+
+    With ``direct`` every edge is itself a pair within the radius, else an edge leads to the smallest of its component.
+    """
     order = np.lexsort((fp, key))
     key, fp, role = key[order], fp[order], role[order]
     nodes, node = np.unique(fp, return_inverse=True)
@@ -182,7 +200,7 @@ def _verify(key: np.ndarray, fp: np.ndarray, role: np.ndarray, radius: int) -> t
     label = np.arange(len(nodes))
     end_of = np.repeat(first + size, size)
     rest = end_of - np.arange(len(key)) - 1  # partners after each row in its cell
-    at = 0
+    at, pairs = 0, [np.zeros((2, 0), np.int64)]
     while at < len(key):  # chunks of rows with a bounded number of pairs
         upto = max(at + 1, int(np.searchsorted(np.cumsum(rest[at:]), 4_000_000)) + at)
         many = rest[at:upto]
@@ -193,16 +211,26 @@ def _verify(key: np.ndarray, fp: np.ndarray, role: np.ndarray, radius: int) -> t
         a, b = a[meets], b[meets]
         close = np.bitwise_count(fp[a] ^ fp[b]) <= radius
         a, b = node[a[close]], node[b[close]]
-        if len(a):
+        if direct:
+            a, b, label = _spanning(a, b, label)
+            pairs.append(np.stack([a, b]))
+        elif len(a):
             label = _forest(np.r_[np.arange(len(nodes)), a], np.r_[label, b], len(nodes))
         at = upto
+    if direct:
+        a, b = np.concatenate(pairs, axis=1)
+        return nodes[a], nodes[b]
     linked = label != np.arange(len(nodes))
     return nodes[linked], nodes[label[linked]]
 
 
-def link_fingerprints(distinct: DataFrame, radius: int = 3, parts: int = 4, block: int = BLOCK) -> DataFrame:
+def link_fingerprints(
+    distinct: DataFrame, radius: int = 3, parts: int = 4, block: int = BLOCK, direct: bool = False
+) -> DataFrame:
     """Links (a, b) between distinct fingerprints ``fp``: a forest with the components of all pairs within ``radius``.
 
+    With ``direct`` every link is itself a pair within ``radius``, for callers that look at the pairs again.
+
     Fewer ``parts`` suit larger corpora (wider values, more probes). What the driver collects is bounded: bit
     correlations, and one count per partition value (4 x 65,536 with four parts).
     """
@@ -260,7 +288,7 @@ def link_fingerprints(distinct: DataFrame, radius: int = 3, parts: int = 4, bloc
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = pa.Table.from_batches(list(batches), schema=out) if (batches := list(batches)) else out.empty_table()
         key = rows["key"].to_numpy() * np.int64(1 << 20) + rows["cell"].to_numpy()
-        a, b = _verify(key, rows["fp"].to_numpy().view(np.uint64), rows["role"].to_numpy(), radius)
+        a, b = _verify(key, rows["fp"].to_numpy().view(np.uint64), rows["role"].to_numpy(), radius, direct)
         yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
     made = distinct.select("fp").mapInArrow(signatures, "key long, cell long, fp long, role byte")
