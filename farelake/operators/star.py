@@ -74,13 +74,15 @@ def pickup_month() -> Column:
     return F.date_format(F.timestamp_micros("time_id"), "yyyyMM").cast("int")
 
 
-def build_dim_time(trips: DataFrame, dim: DataFrame | None = None) -> DataFrame:
-    """One row per distinct pickup time; with ``dim`` only new times are added to it."""
-    times = trips.select(F.col(PICKUP).alias("pickup_datetime")).dropna().distinct()
-    if dim is not None:
-        times = times.join(dim.select("pickup_datetime"), "pickup_datetime", "left_anti")
+def pickup_times(trips: DataFrame) -> DataFrame:
+    """The distinct pickup times."""
+    return trips.select(F.col(PICKUP).alias("pickup_datetime")).dropna().distinct()
+
+
+def time_attributes(times: DataFrame) -> DataFrame:
+    """Rows of the time dimension for distinct pickup times."""
     ts = F.col("pickup_datetime")
-    added = times.select(
+    return times.select(
         time_id(ts).alias("time_id"),
         "pickup_datetime",
         F.year(ts).alias("year"),
@@ -93,6 +95,14 @@ def build_dim_time(trips: DataFrame, dim: DataFrame | None = None) -> DataFrame:
         F.dayofyear(ts).alias("day_of_year"),
         F.weekofyear(ts).alias("week_of_year"),
     )
+
+
+def build_dim_time(trips: DataFrame, dim: DataFrame | None = None) -> DataFrame:
+    """One row per distinct pickup time; with ``dim`` only new times are added to it."""
+    times = pickup_times(trips)
+    if dim is not None:
+        times = times.join(dim.select("pickup_datetime"), "pickup_datetime", "left_anti")
+    added = time_attributes(times)
     return added if dim is None else dim.unionByName(added)
 
 
@@ -235,9 +245,11 @@ def constraint_check(
         *[F.count_if(F.col(c).isNull()).alias(f"not_null_{c}") for c in references],
     )
 
+    number = {n: i for i, n in enumerate(references)}
+
     def keys(frame: DataFrame, names: dict[str, str]) -> DataFrame:
-        """(reference, key) of every row, one per entry of ``names``."""
-        items = [F.struct(F.lit(n).alias("reference"), F.col(c).cast("long").alias("key")) for n, c in names.items()]
+        """(number of the reference, key) of every row, one per entry of ``names``."""
+        items = [F.struct(F.lit(number[n]).alias("reference"), F.col(c).cast("long").alias("key")) for n, c in names.items()]
         return frame.select(F.inline(F.array(*items))).where("key IS NOT NULL")
 
     used = keys(fact, {n: n for n in references}).groupBy("reference", "key").agg(F.count(F.lit(1)).alias("n"))
@@ -246,7 +258,7 @@ def constraint_check(
     ]
     known = known[0].unionByName(known[1]).unionByName(known[2])
     orphans = used.join(known, ["reference", "key"], "left_anti").agg(
-        *[F.coalesce(F.sum(F.when(F.col("reference") == n, F.col("n"))), F.lit(0)).alias(f"fk_{n}") for n in references]
+        *[F.coalesce(F.sum(F.when(F.col("reference") == number[n], F.col("n"))), F.lit(0)).alias(f"fk_{n}") for n in references]
     )
     repeated = dim_time.groupBy("pickup_datetime").agg(F.count(F.lit(1)).alias("n")).where("n > 1").agg(
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("unique_pickup_datetime")

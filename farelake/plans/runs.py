@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,15 +61,16 @@ def run_star(trips: DataFrame, root: str, load_id: str | None = None, enforce: b
 
     A load writes a folder of its own: the zones and times that the dimensions lack, and the facts whose trip (reference and
     pickup time) is not there yet. Its commit record holds the range of its pickup times and where its Bloom filter of trips
-    lies, so a later load looks only at earlier ones whose times overlap with its own, and reads the facts of those only whose
-    filter has seen one of its trips. A repeated load adds nothing, a failed one leaves the loads before it in place. If
+    lies, so a later load looks only at earlier ones whose times overlap with its own, and compares those trips only with their
+    facts that the filter has seen. The input is read for the keys and again for the facts. A repeated load adds nothing, a failed
+    one leaves the loads before it in place. If
     another load commits in between, the commit is refused and the load starts again from what is there then. With
     ``enforce`` a violated constraint stops the load, as it would stop the transaction.
     """
     spark, load_id = trips.sparkSession, load_id or new_run_id()
     log = CommitLog(spark, root)
-    facts = stored(star.build_fact_trips(trips), "facts")
-    times = stored(star.build_dim_time(trips), "times")
+    facts = star.build_fact_trips(trips)
+    times = stored(star.pickup_times(trips).withColumn("time_id", star.time_id("pickup_datetime")), "times")
     zones_seen = stored(star.missing_locations(trips), "zones_seen")
     while True:
         version = log.version
@@ -88,20 +90,17 @@ def _load(
     low, high = times.agg(F.min("time_id"), F.max("time_id")).first()
     near = [r for r in records if r["rows"]["dim_time"] and low is not None and r["low"] <= high and low <= r["high"]]
     now = _tables(spark, records)
-    found = _loads_that_may_hold(spark, facts, near)
-    if found:
-        known = spark.read.parquet(*[f"{r['folder']}/fact_trips" for r in found]).where(F.col("time_id").between(low, high))
-        facts = facts.join(known.select("trip_id", "time_id"), ["trip_id", "time_id"], "left_anti")
+    facts = _not_there(spark, facts, near)
     if near:
         # times of loads that do not overlap cannot be among the new ones
         known = spark.read.parquet(*[f"{r['folder']}/dim_time" for r in near]).where(F.col("time_id").between(low, high))
-        times = times.join(known.select("time_id"), "time_id", "left_anti").select(*times.columns)
+        times = times.join(known.select("time_id"), "time_id", "left_anti")
     if records:
         unseen = zones_seen.join(now["dim_location"].select("location_id"), "location_id", "left_anti")
         places = star.unknown_locations(unseen)
     else:
         places = star.seed_locations(spark).unionByName(star.unknown_locations(zones_seen))
-    rates = star.build_dim_rate(spark)
+    times, rates = star.time_attributes(times), star.build_dim_rate(spark)
     tables = {"dim_location": places, "dim_time": times, "dim_rate": rates.limit(0) if records else rates}
     for name, df in tables.items():
         df.write.parquet(f"{folder}/{name}")
@@ -113,8 +112,8 @@ def _load(
     rows["fact_trips"] = added.count()
     bits = bloom.size(rows["fact_trips"])
     bloom.build(added, TRIP, bits).write.parquet(f"{folder}/bloom")
-    record = {"load_id": load_id, "folder": folder, "rows": rows, "low": low, "high": high, "bits": bits}
-    if enforce:
+    record = {"load_id": load_id, "folder": folder, "rows": rows, "low": low, "high": high, "bits": bits, "layout": bloom.LAYOUT}
+    if enforce and any(rows.values()):
         # Checked on the stored tables: every one of them was computed once.
         whole = _tables(spark, [*records, record])
         broken = star.constraint_check(added, whole["dim_time"], whole["dim_location"], whole["dim_rate"]).where("violations > 0")
@@ -127,9 +126,39 @@ def _load(
 TRIP = ["trip_id", "time_id"]
 
 
-def _loads_that_may_hold(spark: SparkSession, facts: DataFrame, records: list[dict]) -> list[dict]:
-    """Of the given loads those whose filter has seen one of the facts' trips."""
-    return [r for r in records if r["rows"]["fact_trips"] and bloom.may_hold(facts, TRIP, spark.read.parquet(f"{r['folder']}/bloom"), r["bits"])]
+def _not_there(spark: SparkSession, facts: DataFrame, records: list[dict]) -> DataFrame:
+    """The facts whose trip is in none of the given loads.
+
+    A load's filter lets few trips pass that are not there, so its facts are joined with few keys, unless they repeat. Loads have
+    no trip in common, so the trips found in each of them add up; if they are all, nothing is joined again.
+    """
+    asked: list[DataFrame] = []
+    there = []
+    for r, keys in zip(_loads_that_may_hold(spark, facts, records, asked), asked):
+        low, high = keys.agg(F.min("time_id"), F.max("time_id")).first()
+        known = spark.read.parquet(f"{r['folder']}/fact_trips").select(*TRIP).where(F.col("time_id").between(low, high))
+        there.append(keys.join(known, TRIP, "left_semi"))
+    found = sum(t.count() for t in there)
+    if not found:
+        return facts
+    if found == facts.count():
+        return facts.limit(0)
+    return facts.join(stored(reduce(DataFrame.unionByName, there), "there"), TRIP, "left_anti")
+
+
+def _loads_that_may_hold(spark: SparkSession, facts: DataFrame, records: list[dict], asked: list[DataFrame] | None = None) -> list[dict]:
+    """Of the given loads those whose filter has seen one of the facts' trips; ``asked`` takes up which trips."""
+    found = []
+    for r in (r for r in records if r["rows"]["fact_trips"]):
+        if r.get("layout") == bloom.LAYOUT:
+            keys = bloom.may_hold(facts, TRIP, spark.read.parquet(f"{r['folder']}/bloom"), r["bits"])
+        else:  # written by an earlier version, whose filters lie otherwise
+            keys = stored(facts.select(*TRIP), "asked")
+        if keys is not None:
+            found.append(r)
+            if asked is not None:
+                asked.append(keys)
+    return found
 
 
 def _tables(spark: SparkSession, records: list[dict]) -> dict[str, DataFrame]:
