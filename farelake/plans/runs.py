@@ -33,7 +33,7 @@ def run_processed(
     would count a task again when its executor is lost.
     """
     run_id = run_id or new_run_id()
-    outcomes = zones.write_outcomes(quality.etl_outcome(trips, mode=mode), root, run_id, quality.sinks(), clustered)
+    outcomes = zones.write_outcomes(quality.etl_outcome(trips, mode=mode), root, run_id, quality.sinks(), clustered, **quality.moved_once())
     known = [quality.OK, quality.PRE_FILTERED, quality.LOST, *quality.REASON_METRICS]
     return {"run_id": run_id, "records_processed": sum(outcomes.values())} | {o: outcomes.get(o, 0) for o in known}
 

@@ -106,22 +106,36 @@ def write_dead_letter(invalid: DataFrame, path: str, run_id: str) -> None:
 VALID, REJECTED, SKIPPED = "processed", "dead_letter", "skipped"
 
 
-def write_outcomes(judged: DataFrame, root: str, run_id: str, sinks: dict[str, Column], clustered: bool = False) -> dict[str, int]:
+def write_outcomes(
+    judged: DataFrame, root: str, run_id: str, sinks: dict[str, Column], clustered: bool = False, near: Column | None = None,
+    late: dict[str, Column] | None = None,
+) -> dict[str, int]:
     """Write judged rows (column ``outcome``) into all their sinks at once and commit them together; rows per outcome.
 
     ``sinks`` maps outcomes to a sink; the rows of the sink ``skipped`` are kept as outcomes only, so that counts come from
     what was written and not from a second look at the input. One write goes into an attempt folder of its own, one record makes
     it current: a run that dies before has no rows anywhere, one that is repeated replaces its rows in every sink.
+
+    Rows of equal ``near`` are brought together (default: of a sink and month). Skipped rows travel with the others then: by
+    themselves they are so small when compressed that very many of them would meet in one task. Columns in ``late`` are left out
+    of the move and computed after it.
     """
     sink = F.coalesce(*[F.when(condition, F.lit(name)) for name, condition in sinks.items()], F.lit(SKIPPED))
-    marked = judged.withColumn("sink", sink).withColumn("failed_at", F.when(F.col("sink") == REJECTED, F.current_timestamp()))
+    late, stays = late or {}, F.col("sink") != SKIPPED
+    marked = judged.withColumn("sink", sink)
     kept = [c for c in marked.columns if c not in ("sink", "outcome", "failed_at")]
-    rows = marked.select(*[F.when(F.col("sink") != SKIPPED, F.col(c)).alias(c) for c in kept], "outcome", "failed_at", "sink")
+    rows = marked.select(*[F.when(stays, F.col(c)).alias(c) for c in kept if c not in late], "outcome", "sink", *[near.alias("near")] * (near is not None))
+    if near is not None and not clustered:
+        rows = rows.hint("rebalance", "near")
+    rows = rows.withColumns({c: F.when(stays, value) for c, value in late.items()})
+    rows = rows.withColumn("failed_at", F.when(F.col("sink") == REJECTED, F.current_timestamp()))
+    rows = rows.select(*kept, "outcome", "failed_at", "sink")
     keys = [c for c in EXPECTED_PARTITIONS if c in kept]
 
     def outcomes(written: DataFrame) -> dict:
         return {"outcomes": {r["outcome"]: r["count"] for r in written.groupBy("outcome").count().collect()}}
 
+    clustered = clustered or near is not None
     return commit_attempt(CommitLog(judged.sparkSession, root), rows, run_id, keys, outcomes, clustered=clustered)["outcomes"]
 
 

@@ -65,7 +65,8 @@ def streaming_etl(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_outcomes(quality.etl_outcome(transform(batch), mode=mode), root, f"batch-{batch_id}", quality.sinks())
+        judged = quality.etl_outcome(transform(batch), mode=mode)
+        write_outcomes(judged, root, f"batch-{batch_id}", quality.sinks(), **quality.moved_once())
 
     _finish(files.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint))
 
