@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import checked_broadcast
 from .common import map_batches, stored
-from .graph import components
+from .graph import BLOCK, components
 from .simhash import fingerprint, link_fingerprints
 from .substring_dedup import WordHashes
 
@@ -43,6 +43,7 @@ MORE_LEADERS = 32  # in these a set outside the bucket's largest component is he
 SLOTS = 16  # and a bucket has so many of them
 MORE_ROUNDS = 10  # at most so many of these; the pairs they leave are compared after them
 HOT = 300_000  # frequent shingles that every task knows
+PAIRS = 250  # pairs for which a task is worth its while; few pairs make few tasks, many as many as the shuffle gives
 SAMPLE = 100_000  # documents that are searched for frequent shingles
 
 
@@ -99,29 +100,40 @@ def may_be_alike(a: np.ndarray, b: np.ndarray) -> bool:
 def _verified(pairs: DataFrame, sets: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     """The pairs (a, b) whose sets are alike. Texts move only for pairs whose histograms overlap far enough."""
     pairs = stored(pairs.distinct(), "pairs")
-    both = pairs.join(sets.select(F.col("set_key").alias("a"), F.col("counts").alias("ca")), "a")
-    both = both.join(sets.select(F.col("set_key").alias("b"), F.col("counts").alias("cb")), "b")
+    known = sets.select("set_key", "counts", F.col("doc_id").alias("own_id"), F.col("text_key").alias("own_text"))
+    # the two ends of a pair meet under the pair, so no set of many pairs is a hot key
+    met = known.join(checked_broadcast(_ends(pairs)), "set_key").groupBy("a", "b")
+    both = met.agg(*[F.min(F.when(F.col("set_key") == F.col(e), F.col(c))).alias(f"{c}_{e}") for e in "ab" for c in known.columns[1:]])
+    schema = "a long, b long, " + ", ".join(f"own_id_{e} long, own_text_{e} long" for e in "ab")
 
     def near(r):
-        at = [i for i, (x, y) in enumerate(zip(r["ca"], r["cb"])) if may_be_alike(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4"))]
-        return {n: [r[n][i] for i in at] for n in ("a", "b")}
+        at = [i for i, (x, y) in enumerate(zip(r["counts_a"], r["counts_b"])) if may_be_alike(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4"))]
+        return {n: [r[n][i] for i in at] for n in r if not n.startswith("counts")}
 
-    close = stored(map_batches(both.select("a", "b", "ca", "cb"), "a long, b long", near), "close")
-    ends = close.select(F.col("a").alias("set_key")).unionByName(close.select(F.col("b").alias("set_key"))).distinct()
-    owners = stored(sets.join(ends, "set_key", "left_semi").select("set_key", F.col("doc_id").alias("own_id"), F.col("text_key").alias("own_text")), "owners")
-    own = checked_broadcast(owners)
+    close = stored(map_batches(_few_tasks(both, pairs), schema, near), "close")
+    owners = (close.select(F.col(e).alias("set_key"), F.col(f"own_id_{e}").alias("own_id"), F.col(f"own_text_{e}").alias("own_text")) for e in "ab")
+    own = checked_broadcast(stored(_few_tasks(DataFrame.unionByName(*owners).distinct(), close), "owners"))
     # an owner may stand in several equal rows; each task passes one of them on, what is left repeats no link
     found = texts.join(own, texts["doc_id"].eqNullSafe(own["own_id"]) & (texts["text_key"] == own["own_text"])).select("set_key", "text")
     bodies = stored(found.mapInArrow(_one_per_key, "set_key long, text string"), "bodies", compression="zstd")
-    both = close.join(bodies.select(F.col("set_key").alias("a"), F.col("text").alias("ta")), "a")
-    both = both.join(bodies.select(F.col("set_key").alias("b"), F.col("text").alias("tb")), "b")
+    met = bodies.join(checked_broadcast(_ends(close)), "set_key").groupBy("a", "b")
+    both = met.agg(*[F.min(F.when(F.col("set_key") == F.col(e), F.col("text"))).alias(f"t{e}") for e in "ab"])
 
     def work(r):
         kept = lru_cache(maxsize=64)(lambda t: shingle_set(t, words))
         at = [i for i, (x, y) in enumerate(zip(r["ta"], r["tb"])) if alike(kept(x), kept(y))]
         return {n: [r[n][i] for i in at] for n in ("a", "b")}
 
-    return stored(map_batches(both.select("a", "b", "ta", "tb"), "a long, b long", work).distinct(), "alike")
+    return stored(map_batches(_few_tasks(both, close), "a long, b long", work), "alike")
+
+
+def _few_tasks(df: DataFrame, pairs: DataFrame) -> DataFrame:
+    return df.coalesce(max(1, -(-pairs.count() // PAIRS)))
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    """Each pair (a, b) under both of its sets."""
+    return pairs.select(F.explode(F.array("a", "b")).alias("set_key"), "a", "b")
 
 
 def _one_per_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,18 +169,22 @@ def _crowded(left: DataFrame) -> DataFrame:
     return of.where(f"rows >= {CROWD}").select("token", F.col("main.root").alias("main"), "rows", apart.alias("apart"))
 
 
-def _open(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Members with the root of their component under ``links``, of the buckets that hold more than one component.
+def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members with the root of their component, of the buckets that hold more than one component.
 
     Members too far down to reach even the smallest set of their bucket meet nobody there and are left out.
     """
-    roots = components(links)
     members = members.select("token", "at", "set_key", "n")
     rooted = members.join(roots, members["set_key"] == roots["node"], "left")
     rooted = stored(rooted.select("token", "at", "set_key", "n", F.coalesce("root", "set_key").alias("root")), "rooted")
     mixed = rooted.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min("n").alias("least"))
     mixed = stored(mixed.where("r0 < r1").select("token", "least"), "mixed")
-    return stored(rooted.join(mixed, "token").where("9 * (n - at) >= 4 * (n + least)").drop("least"), "open")
+    return stored(rooted.join(checked_broadcast(mixed), "token").where("9 * (n - at) >= 4 * (n + least)").drop("least"), "open")
+
+
+def _joined(roots: DataFrame, found: DataFrame) -> DataFrame:
+    """``roots`` after the links ``found``. Earlier links stand in it as one for each node, so they are not gone through again."""
+    return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(found), block=BLOCK)
 
 
 def near_copies(docs: DataFrame, words: int = WORDS, rounds: int = 2) -> DataFrame:
@@ -216,7 +232,7 @@ def near_copies(docs: DataFrame, words: int = WORDS, rounds: int = 2) -> DataFra
     owner = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("of")
     sets = prints.groupBy("set_key").agg(owner, F.max("counts").alias("counts"), F.max("fp").alias("fp"))
     sets = stored(sets.select("set_key", "of.doc_id", "of.text_key", "counts", "fp"), "sets")
-    links = _verified(_proposed(sets, RADIUS), sets, texts, words)
+    roots = components(_verified(_proposed(sets, RADIUS), sets, texts, words), block=BLOCK)
 
     # shingles that are frequent in the sample are taken as shared, so only the others meet in one task to be counted
     each = prints.where("prefix IS NOT NULL").select("set_key", "n", "rare", F.posexplode("prefix").alias("at", "token"))
@@ -224,7 +240,7 @@ def near_copies(docs: DataFrame, words: int = WORDS, rounds: int = 2) -> DataFra
     both = shared.select("token", "at", "set_key", "n").unionByName(each.where("at >= rare").select("token", "at", "set_key", "n"))
     members = stored(both.distinct(), "members")
 
-    left, turn, many = _open(members, links), 0, LEADERS
+    left, turn, many = _open(members, roots), 0, LEADERS
     while True:
         pool, asks, slot, salt = left, left, F.lit(0), F.xxhash64("set_key", F.lit(turn))
         if turn >= rounds:
@@ -239,21 +255,21 @@ def near_copies(docs: DataFrame, words: int = WORDS, rounds: int = 2) -> DataFra
         lead = pool.groupBy("token", slot.alias("slot")).agg(F.min(key).alias("l"))
         names = {"set_key": "lead", "n": "lead_n", "at": "lead_at", "root": "lead_root"}
         lead = stored(lead.select("token", *[F.col(f"l.{c}").alias(n) for c, n in names.items()]), "leaders")
-        met = asks.join(lead, "token").where(f"root != lead_root AND {_REACHES.format('n', 'at', 'lead_n', 'lead_at')}")
+        met = asks.join(checked_broadcast(lead), "token").where(f"root != lead_root AND {_REACHES.format('n', 'at', 'lead_n', 'lead_at')}")
         # a set is held against the leaders it shares most with, so a large group costs a few pairs for each member
-        met = met.groupBy("set_key", "lead").agg(F.count("*").alias("shared"))
+        met = met.repartition("set_key").groupBy("set_key", "lead").agg(F.count("*").alias("shared"))
         order = Window.partitionBy("set_key").orderBy(F.desc("shared"), F.xxhash64("lead", F.lit(turn)), "lead")
         met = met.withColumn("turn", F.row_number().over(order)).where(f"turn <= {many}")
         found = _verified(met.select(F.least("set_key", "lead").alias("a"), F.greatest("set_key", "lead").alias("b")), sets, texts, words)
         turn += 1
         if turn > rounds and found.isEmpty():
             break
-        links = links.unionByName(found)
-        left = _open(left, links)
+        roots = _joined(roots, found)
+        left = _open(left, roots)
     x, y = left.alias("x"), left.alias("y")
     met = x.join(y, "token").where(f"x.root != y.root AND x.set_key < y.set_key AND {_REACHES.format('x.n', 'x.at', 'y.n', 'y.at')}")
     found = _verified(met.select(F.col("x.set_key").alias("a"), F.col("y.set_key").alias("b")), sets, texts, words)
-    roots = components(links.unionByName(found))
+    roots = _joined(roots, found)
     return prints.join(roots, prints["set_key"] == roots["node"], "left").select(
         "doc_id", "text_key", F.coalesce("root", "set_key").alias("root")
     )

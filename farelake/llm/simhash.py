@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_batches, stored
-from .graph import components
+from .graph import components, forest
 
 BITS = 64
 SEED = 42  # fixed value: seed of the shingle hash
@@ -156,22 +156,6 @@ def _choose(n: int, k: int) -> int:
     return math.comb(n, k)
 
 
-def _forest(links_a: np.ndarray, links_b: np.ndarray, n: int) -> np.ndarray:
-    """Smallest reachable number of each of ``n`` items under the links."""
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[links_a], label[links_b])
-        new = label.copy()
-        np.minimum.at(new, links_a, low)
-        np.minimum.at(new, links_b, low)
-        np.minimum.at(new, label[links_a], low)
-        np.minimum.at(new, label[links_b], low)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
-
-
 def _spanning(a: np.ndarray, b: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of the pairs (a, b) as many as join the components ``label`` in the same way, and the labels after that."""
     kept, every = [], np.arange(len(label))
@@ -180,7 +164,7 @@ def _spanning(a: np.ndarray, b: np.ndarray, label: np.ndarray) -> tuple[np.ndarr
         _, first = np.unique(np.r_[label[a], label[b]], return_index=True)
         pick = np.unique(np.r_[pair, pair][first])  # one pair for each component
         kept.append(np.stack([a[pick], b[pick]]))
-        label = _forest(np.r_[every, a[pick]], np.r_[label, b[pick]], len(label))
+        label = forest(np.r_[every, a[pick]], np.r_[label, b[pick]], len(label))
         apart = label[a] != label[b]
         a, b = a[apart], b[apart]
     kept = np.concatenate(kept, axis=1) if kept else np.zeros((2, 0), np.int64)
@@ -215,7 +199,7 @@ def _verify(key: np.ndarray, fp: np.ndarray, role: np.ndarray, radius: int, dire
             a, b, label = _spanning(a, b, label)
             pairs.append(np.stack([a, b]))
         elif len(a):
-            label = _forest(np.r_[np.arange(len(nodes)), a], np.r_[label, b], len(nodes))
+            label = forest(np.r_[np.arange(len(nodes)), a], np.r_[label, b], len(nodes))
         at = upto
     if direct:
         a, b = np.concatenate(pairs, axis=1)

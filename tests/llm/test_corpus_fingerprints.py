@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 from test_corpus_whole import brute_near_copies
 
-from farelake.llm import common, near_copies, simhash
+from farelake.llm import common, graph, near_copies, simhash
 
 BITS = [1 << b for b in range(64)]
 
@@ -86,3 +86,36 @@ def test_a_group_that_meets_but_is_barely_alike_is_not_listed_pair_by_pair(spark
         first.setdefault(got[i], i)
     assert {i: first[r] for i, r in got.items()} == brute_near_copies(dict(enumerate(texts)))[0]
     assert sum(seen) < 300 * 299 / 2 / 2
+
+
+def test_components_by_blocks_are_those_by_rounds(spark):
+    rng = random.Random(24)
+    pairs = [(rng.randrange(900), rng.randrange(900)) for _ in range(500)] + [(i, i + 1) for i in range(2000, 2200)] + [(5, 5), (None, 3)]
+    links = common.ready(spark).createDataFrame(pairs, "a long, b long").repartition(3)
+    plain = {(r.node, r.root) for r in graph.components(links).collect()}
+    for block in (200, 10_000):
+        assert {(r.node, r.root) for r in graph.components(links, block=block).collect()} == plain
+    assert graph.components(links.limit(0), block=90).count() == 0
+
+
+def test_a_round_with_leaders_costs_few_tables(spark, monkeypatch):
+    """Each table is a job and a file for each task; links known before are not gone through again in every round."""
+    rng = random.Random(25)
+    base, texts = [rng.choice("abcdefgh") + str(rng.randrange(5000)) for _ in range(145)], []
+    for i in range(120):
+        new = list(base)
+        for at in rng.sample(range(5, 140), 2):
+            new[at] = f"x{i}"
+        texts.append(" ".join(new))
+    monkeypatch.setattr(near_copies, "CROWD", 8)
+    labels = []
+    for module in (near_copies, graph):
+        own = module.stored
+        monkeypatch.setattr(module, "stored", lambda df, label, compression=None, own=own: labels.append(label) or own(df, label, compression))
+    docs = common.ready(spark).createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got, first = {r.doc_id: r.root for r in near_copies.near_copies(docs).collect()}, {}
+    for i in sorted(got):
+        first.setdefault(got[i], i)
+    assert {i: first[r] for i, r in got.items()} == brute_near_copies(dict(enumerate(texts)))[0]
+    assert labels.count("leaders") > 2
+    assert len(labels) <= 12 * (labels.count("leaders") + 2)
