@@ -1,8 +1,10 @@
 """Near copies by SimHash and exact similarity of word-shingle sets.
 
 Method: the search of ``simhash`` (fingerprints of five-word shingles, partitions of correlated bits, thresholds by dynamic
-programming) proposes pairs of texts within ``RADIUS`` bits, and those with a Jaccard similarity of 4/5 or more are linked. As
-some similar texts have fingerprints further apart, an exact search follows for what then still lies in different components.
+programming) proposes pairs of texts within ``RADIUS`` bits, and those with a Jaccard similarity of 4/5 or more are linked. The
+closest pairs of each set are checked first, and of the others only those that lie in different components after that. As some
+similar texts have fingerprints further apart or more proposals than are checked, an exact search follows for what then still
+lies in different components.
 
 Exact search: two sets with a Jaccard similarity of 4/5 or more share one of their first n/5 + 1 shingles under any common
 order (pigeonhole), so each set is indexed under these only. The order puts shingles that a bounded sample of documents
@@ -37,6 +39,8 @@ WORDS = 5
 # this leaves pairs out that meet at a later one; the last round sees all of them.
 _REACHES = "5 * least({0}, {2}) >= 4 * greatest({0}, {2}) AND 9 * least({0} - {1}, {2} - {3}) >= 4 * ({0} + {2})"
 RADIUS = 6  # bits in which the fingerprints of proposed pairs differ at most
+NEAREST = 2  # proposed pairs on which a set is checked in a round, whatever the size of its group and the number of tasks
+NEAR_ROUNDS = 2  # rounds of these; what they leave is for the exact search
 LEADERS = 3  # leaders that a set is held against in a round; what they miss is left to the next rounds
 CROWD = 32  # members of a bucket that goes on to further rounds, with leaders of its own
 MORE_LEADERS = 32  # in these a set outside the bucket's largest component is held against so many,
@@ -149,17 +153,49 @@ def _one_per_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _proposed(sets: DataFrame, radius: int) -> DataFrame:
-    """Pairs (a, b) of sets whose fingerprints differ in ``radius`` bits or fewer: a forest over all such pairs."""
+    """Pairs (a, b) of sets whose fingerprints differ in ``bits`` bits, ``radius`` or fewer, that join all such sets."""
     classes = stored(sets.groupBy("fp").agg(F.min("set_key").alias("first")), "fingerprint_classes")
-    equal = sets.join(classes, "fp").where("set_key != first").select(F.col("first").alias("a"), F.col("set_key").alias("b"))
+    equal = sets.join(classes, "fp").where("set_key != first").select(F.col("first").alias("a"), F.col("set_key").alias("b"), F.lit(0).alias("bits"))
     near = stored(link_fingerprints(classes, radius, direct=True).distinct(), "fingerprint_links")
+    near = near.withColumn("bits", F.bit_count(F.col("a").bitwiseXOR(F.col("b"))))
     ends = (classes.select(F.col("fp").alias(end), F.col("first").alias(f"set_{end}")) for end in ("a", "b"))
     for end in ends:
         near = near.join(end, end.columns[0])
-    near = near.select(F.least("set_a", "set_b").alias("a"), F.greatest("set_a", "set_b").alias("b"))
+    near = near.select(F.least("set_a", "set_b").alias("a"), F.greatest("set_a", "set_b").alias("b"), "bits")
     return equal.unionByName(near)
 
 
+def _nearest(links: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) of ``links``: for each set the closest one of each of ``NEAREST`` classes of its partners."""
+    sides = (links.select(F.col(x).alias("set_key"), F.col(y).alias("other"), "bits") for x, y in ("ab", "ba"))
+    salt = F.xxhash64("other", F.lit(turn))
+    best = DataFrame.unionByName(*sides).groupBy("set_key", F.pmod(salt, F.lit(NEAREST)).alias("slot"))
+    best = best.agg(F.min(F.struct("bits", salt.alias("salt"), "other")).alias("l"))
+    return best.select(F.least("set_key", "l.other").alias("a"), F.greatest("set_key", "l.other").alias("b")).distinct()
+
+
+def _apart(links: DataFrame, asked: DataFrame, roots: DataFrame) -> DataFrame:
+    """The ``links`` not yet asked whose ends lie in different components."""
+    left = links.join(asked, ["a", "b"], "left_anti")
+    for end in "ab":
+        left = left.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end, "left")
+    return left.where("coalesce(root_a, a) != coalesce(root_b, b)").select("a", "b", "bits")
+
+
+def _near_roots(sets: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """Components over proposed pairs that are alike. The pairs checked are at most so many for each set, not for each task."""
+    links, roots = stored(_proposed(sets, RADIUS), "proposed"), None
+    for turn in range(NEAR_ROUNDS):
+        asked = stored(_nearest(links, turn), "asked")
+        found = _verified(asked, sets, texts, words)
+        roots = _joined(roots, found) if turn else components(found, block=BLOCK)
+        if turn + 1 < NEAR_ROUNDS:
+            links = stored(_apart(links, asked, roots), "apart")
+            if links.isEmpty():
+                break
+    return roots
+
+
 def _crowded(left: DataFrame) -> DataFrame:
     """Buckets of ``CROWD`` members or more: their largest component and the pairs that lie in different ones."""
     each = left.groupBy("token", "root").agg(F.count("*").alias("n"))
@@ -232,7 +268,7 @@ def near_copies(docs: DataFrame, words: int = WORDS, rounds: int = 2) -> DataFra
     owner = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("of")
     sets = prints.groupBy("set_key").agg(owner, F.max("counts").alias("counts"), F.max("fp").alias("fp"))
     sets = stored(sets.select("set_key", "of.doc_id", "of.text_key", "counts", "fp"), "sets")
-    roots = components(_verified(_proposed(sets, RADIUS), sets, texts, words), block=BLOCK)
+    roots = _near_roots(sets, texts, words)
 
     # shingles that are frequent in the sample are taken as shared, so only the others meet in one task to be counted
     each = prints.where("prefix IS NOT NULL").select("set_key", "n", "rare", F.posexplode("prefix").alias("at", "token"))

@@ -119,3 +119,29 @@ def test_a_round_with_leaders_costs_few_tables(spark, monkeypatch):
     assert {i: first[r] for i, r in got.items()} == brute_near_copies(dict(enumerate(texts)))[0]
     assert labels.count("leaders") > 2
     assert len(labels) <= 12 * (labels.count("leaders") + 2)
+
+
+def test_proposed_pairs_do_not_multiply_with_tasks(spark, monkeypatch):
+    """Each task of the SimHash search joins a group of near copies once more; a set is checked on a few pairs all the same."""
+    rng = random.Random(26)
+    base, texts = [rng.choice("abcdefgh") + str(rng.randrange(5000)) for _ in range(300)], []
+    for i in range(150):
+        new = list(base)
+        for at in rng.sample(range(5, 295), 4):
+            new[at] = f"x{i}"
+        texts.append(" ".join(new))
+    own, asked = near_copies._verified, []
+    monkeypatch.setattr(near_copies, "_verified", lambda pairs, *rest: asked.append(pairs.count()) or own(pairs, *rest))
+    docs = common.ready(spark).createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for key, value in zip(held, ("24", "false")):
+            spark.conf.set(key, value)
+        got, first = {r.doc_id: r.root for r in near_copies.near_copies(docs).collect()}, {}
+    finally:
+        for key, value in held.items():
+            spark.conf.set(key, value)
+    for i in sorted(got):
+        first.setdefault(got[i], i)
+    assert {i: first[r] for i, r in got.items()} == brute_near_copies(dict(enumerate(texts)))[0]
+    assert 0 < asked[0] <= 2 * len(texts)
