@@ -11,8 +11,9 @@ order (pigeonhole), so each set is indexed under these only. The order puts shin
 holds often last, then goes by hash; it decides the work, not the result. Of sets that meet, those go on whose histograms
 of shingle hashes overlap far enough, which no similar pair fails; the rest are verified on their whole texts. Members of a
 shingle's bucket are first held against a few leaders, in rounds with different ones, until few pairs of different components
-are left or a round links nothing; these pairs are all compared, so no similar pair is left out and a large group of copies is
-not listed pair by pair.
+are left or a round links nothing; these pairs are all compared, so no similar pair is left out. Those of buckets with many
+members are compared by 16 bits of each shingle inside a task, in cells of bounded size; only pairs that these show as close
+become rows, so a large group of texts that are barely alike is not listed pair by pair.
 
 Equal sets are joined to one before the search. What reaches the driver is bounded: at most ``HOT`` frequent shingles.
 """
@@ -46,6 +47,7 @@ CROWD = 32  # members of a bucket that goes on to further rounds, with leaders o
 MORE_LEADERS = 32  # in these a set outside the bucket's largest component is held against so many,
 SLOTS = 16  # and a bucket has so many of them
 MORE_ROUNDS = 10  # at most so many of these; the pairs they leave are compared after them
+CELL = 1024  # members of a crowded bucket that are compared with as many others in one place
 HOT = 300_000  # frequent shingles that every task knows
 PAIRS = 250  # pairs for which a task is worth its while; few pairs make few tasks, many as many as the shuffle gives
 SAMPLE = 100_000  # documents that are searched for frequent shingles
@@ -223,6 +225,82 @@ def _joined(roots: DataFrame, found: DataFrame) -> DataFrame:
     return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(found), block=BLOCK)
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """Sorted low 16 bits of the shingles of a set, repeats included: two sets share at most what their sketches share."""
+    return np.sort((shingles & np.uint64(0xFFFF)).astype("<u2"))
+
+
+def _compared(key: np.ndarray, n: np.ndarray, at: np.ndarray, root: np.ndarray, part: np.ndarray, sketches: list[np.ndarray], across: bool) -> np.ndarray:
+    """Pairs (two rows of set keys) of one cell that may be alike and lie in different components, ``across`` parts only."""
+    flat, many, ends = [], [], []
+    for x in sketches:
+        value, count = np.unique(x, return_counts=True)
+        flat.append(value)
+        many.append(count)
+        ends.append(len(value))
+    flat, many, first = np.concatenate(flat), np.concatenate(many), np.r_[0, np.cumsum(ends)]
+    held, found = np.zeros(1 << 16, np.int64), [np.zeros((2, 0), np.int64)]
+    for i in range(len(key) - 1):
+        mine = slice(first[i], first[i + 1])
+        held[flat[mine]] = many[mine]
+        shared = np.add.reduceat(np.minimum(held[flat[first[i + 1] :]], many[first[i + 1] :]), first[i + 1 : -1] - first[i + 1])
+        held[flat[mine]] = 0
+        j = np.arange(i + 1, len(key))
+        near = (root[j] != root[i]) & (key[j] != key[i]) & (9 * shared >= 4 * (n[j] + n[i]))
+        near &= 5 * np.minimum(n[j], n[i]) >= 4 * np.maximum(n[j], n[i])
+        near &= 9 * np.minimum(n[j] - at[j], n[i] - at[i]) >= 4 * (n[j] + n[i])
+        if across:
+            near &= part[j] != part[i]
+        found.append(np.stack([np.minimum(key[i], key[j[near]]), np.maximum(key[i], key[j[near]])]))
+    return np.concatenate(found, axis=1)
+
+
+def _crowded_pairs(crowd: DataFrame, sets: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """Pairs (a, b) of one bucket that may be alike. ``crowd`` has the members with the ``rows`` of their bucket.
+
+    A bucket is dealt to parts of ``CELL`` members or so, and each two parts meet in a cell of their own.
+    """
+    own = crowd.select("set_key").distinct().join(sets.select("set_key", F.col("doc_id").alias("own_id"), F.col("text_key").alias("own_text")), "set_key")
+    own = checked_broadcast(stored(own, "crowd_owners"))
+    found = texts.join(own, texts["doc_id"].eqNullSafe(own["own_id"]) & (texts["text_key"] == own["own_text"])).select("set_key", "text")
+
+    def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _one_per_key(batches):
+            made = pa.array([sketch(shingle_set(t, words)).tobytes() for t in batch.column(1).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), made], names=["set_key", "sketch"])
+
+    # an owner may stand in several equal rows
+    short_sets = stored(found.mapInArrow(short, "set_key long, sketch binary").groupBy("set_key").agg(F.max("sketch").alias("sketch")), "sketches")
+    side = F.ceil(F.col("rows") / CELL)
+    dealt = crowd.withColumn("side", side).withColumn("part", F.pmod(F.xxhash64("set_key"), F.col("side")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("side") - 1)))
+    dealt = dealt.select("token", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"), "part", "set_key", "n", "at", "root")
+    cells = dealt.join(short_sets, "set_key").select("token", "x", "y", "part", "set_key", "n", "at", "root", "sketch")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, cell = [], None
+
+        def pairs() -> Iterator[pa.RecordBatch]:
+            rows = pa.Table.from_batches(kept).select(["set_key", "n", "at", "root", "part", "sketch"])
+            numbers = [rows.column(i).to_numpy().astype(np.int64) for i in range(5)]
+            a, b = _compared(*numbers, [np.frombuffer(x, "<u2") for x in rows.column(5).to_pylist()], cell[1] != cell[2])
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+        for batch in batches:
+            of = np.stack([batch.column(i).to_numpy() for i in range(3)])
+            starts = np.flatnonzero(np.r_[True, (of[:, 1:] != of[:, :-1]).any(0)]) if batch.num_rows else np.zeros(0, int)
+            for start, end in zip(starts, np.r_[starts[1:], batch.num_rows]):
+                if kept and cell != tuple(of[:, start]):
+                    yield from pairs()
+                    kept = []
+                cell = tuple(of[:, start])
+                kept.append(batch.slice(start, end - start))
+        if kept:
+            yield from pairs()
+
+    return cells.repartition("token", "x", "y").sortWithinPartitions("token", "x", "y").mapInArrow(run, "a long, b long")
+
+
 def near_copies(docs: DataFrame, words: int = WORDS, rounds: int = 2) -> DataFrame:
     """doc_id, text_key (hash of the text) and root of every row: rows of equal root are linked by similar sets.
 
@@ -302,10 +380,16 @@ def near_copies(docs: DataFrame, words: int = WORDS, rounds: int = 2) -> DataFra
             break
         roots = _joined(roots, found)
         left = _open(left, roots)
-    x, y = left.alias("x"), left.alias("y")
+    sizes = left.groupBy("token").agg(F.count("*").alias("rows"))
+    sized = stored(left.join(sizes, "token"), "sized")
+    few = sized.where(f"rows < {CROWD}")
+    x, y = few.alias("x"), few.alias("y")
     met = x.join(y, "token").where(f"x.root != y.root AND x.set_key < y.set_key AND {_REACHES.format('x.n', 'x.at', 'y.n', 'y.at')}")
-    found = _verified(met.select(F.col("x.set_key").alias("a"), F.col("y.set_key").alias("b")), sets, texts, words)
-    roots = _joined(roots, found)
+    met = met.select(F.col("x.set_key").alias("a"), F.col("y.set_key").alias("b"))
+    crowd = sized.where(f"rows >= {CROWD}")
+    if not crowd.isEmpty():
+        met = met.unionByName(_crowded_pairs(crowd, sets, texts, words))
+    roots = _joined(roots, _verified(met, sets, texts, words))
     return prints.join(roots, prints["set_key"] == roots["node"], "left").select(
         "doc_id", "text_key", F.coalesce("root", "set_key").alias("root")
     )

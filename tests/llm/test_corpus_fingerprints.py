@@ -145,3 +145,24 @@ def test_proposed_pairs_do_not_multiply_with_tasks(spark, monkeypatch):
         first.setdefault(got[i], i)
     assert {i: first[r] for i, r in got.items()} == brute_near_copies(dict(enumerate(texts)))[0]
     assert 0 < asked[0] <= 2 * len(texts)
+    assert asked[-1] < len(texts) * (len(texts) - 1) / 2 / 10  # nor does the last comparison list the group
+
+
+def test_cells_find_the_pairs_that_brute_force_finds(spark, monkeypatch):
+    rng = random.Random(27)
+    base, texts = [rng.choice("abcdefgh") + str(rng.randrange(5000)) for _ in range(145)], []
+    for i in range(60):
+        new = list(base)
+        for at in rng.sample(range(5, 140), rng.choice([1, 2, 3])):
+            new[at] = f"x{i}"
+        texts.append(" ".join(new))
+    docs = common.ready(spark).createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("text_key", F.xxhash64("text"))
+    sets = docs.withColumn("set_key", F.col("doc_id"))
+    shingles = [near_copies.shingle_set(t) for t in texts]
+    rows = [(token, i, len(shingles[i]), 0, i // 2, 60) for token in (7, 8) for i in range(60)]
+    crowd = spark.createDataFrame(rows, "token long, set_key long, n int, at int, root long, rows long")
+    brute = {(a, b) for a in range(60) for b in range(a) if a // 2 != b // 2 and near_copies.alike(shingles[a], shingles[b])}
+    for cell in (1024, 16):
+        monkeypatch.setattr(near_copies, "CELL", cell)
+        got = {(r.b, r.a) for r in near_copies._crowded_pairs(crowd, sets, docs, 5).collect()}
+        assert brute and brute <= got and len(got - brute) <= 0.1 * len(brute)
