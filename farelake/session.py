@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,6 +32,26 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Off by default: shuffle files stay until the driver collects its garbage, which on a cluster it hardly ever does.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def dropping_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Queries that start inside remove their shuffle files when they end, for large moves that nothing reads again.
+
+    A later action on the very same result would compute its stages again, so the setting is not one of the whole session.
+    """
+    if spark.conf.get(DROP_SHUFFLES, None) == "true":
+        yield  # on already: whoever set it decides when it ends
+        return
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(DROP_SHUFFLES)
+
+
 def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """Session for tests and the bench; on a cluster the caller brings the session."""
     spark = (

@@ -15,8 +15,12 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from ..session import dropping_shuffles
+
 LOG = "_log"
 DIGITS = 12
+#: Attempts that were replaced keep their files, so these are written small: a quarter less than with snappy for trips.
+COMPRESSION = "zstd"
 
 
 class CommitConflict(RuntimeError):
@@ -92,12 +96,15 @@ def commit_attempt(
 ) -> dict:
     """Write ``df`` (column ``sink`` and further partition ``keys``) into an attempt folder in one job and commit it.
 
-    ``note`` looks at the rows written and returns what the record says beside its rows per sink, its folder and schema.
+    ``note`` looks at the rows written and returns what the record says beside its rows per sink, its folder and schema. What the
+    write has shuffled is removed when it ends: attempts that follow each other in one application never have it on disk together.
     """
     spark, folder = log.spark, f"run_id={run_id}/attempt={uuid.uuid4().hex}"
     keys = ["sink", *keys]
     path = f"{log.root}/attempts/{folder}"
-    (df if clustered else df.hint("rebalance", *keys)).write.partitionBy(*keys).parquet(path)
+    rows = df if clustered else df.hint("rebalance", *keys)
+    with dropping_shuffles(df.sparkSession):
+        rows.write.partitionBy(*keys).parquet(path, compression=COMPRESSION)
     fields = [f for f in df.schema.fields if f.name not in keys] + [df.schema[k] for k in keys]
     schema = StructType(fields).add("run_id", "string").add("attempt", "string")
     written = spark.read.schema(schema).option("basePath", f"{log.root}/attempts").parquet(path)
