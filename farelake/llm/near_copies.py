@@ -118,7 +118,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, texts: DataFrame, words: int) -
 
     close = stored(map_batches(_few_tasks(both, pairs), schema, near), "close")
     owners = (close.select(F.col(e).alias("set_key"), F.col(f"own_id_{e}").alias("own_id"), F.col(f"own_text_{e}").alias("own_text")) for e in "ab")
-    own = checked_broadcast(stored(_few_tasks(DataFrame.unionByName(*owners).distinct(), close), "owners"))
+    own = checked_broadcast(_few_tasks(DataFrame.unionByName(*owners).distinct(), close))
     # an owner may stand in several equal rows; each task passes one of them on, what is left repeats no link
     found = texts.join(own, texts["doc_id"].eqNullSafe(own["own_id"]) & (texts["text_key"] == own["own_text"])).select("set_key", "text")
     bodies = stored(found.mapInArrow(_one_per_key, "set_key long, text string"), "bodies", compression="zstd")
